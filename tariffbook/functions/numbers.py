@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,16 +17,6 @@ def rating(c: Column) -> Column:
     return c.try_cast(RATING)
 
 
-def cents(c: Column) -> Column:
-    """Exact amount from whole cents."""
-    return (c.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
-
-
-def tenths(c: Column) -> Column:
-    """Exact rating from whole tenths."""
-    return (c.cast("decimal(6,0)") * F.lit(Decimal("0.1"))).cast(RATING)
-
-
 def charge_or_zero(c: Column) -> Column:
     return F.coalesce(money(c), F.lit(0).cast(MONEY))
 

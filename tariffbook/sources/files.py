@@ -27,9 +27,16 @@ def read_raw(spark: SparkSession, source_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Staged table as Parquet: as many files as tasks, names kept with the data."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Staged table as Parquet.
+
+    Partitioned tables are rebalanced on the partition columns first: few files
+    per small partition, and a partition that holds much of the table is still
+    written by several tasks.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -9,109 +9,91 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tariffbook.functions.numbers import cents, tenths
+from pyspark.sql import DataFrame, SparkSession
 
 # Run date for these tables: after the last order.
 AS_OF = date(2002, 1, 1)
-FIRST_YEAR, VERSIONS_PER_PLAN = 1995, 7
 
-# Country spellings by residue of nine; the last one is the nation's own name.
-_SPELLINGS = ["USA", "us", " United States ", "U.K.", "England", "CAN", "  ", None]
+# Columns in use; a given schema spares a footer read per table.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,
+        l_discount double, l_returnflag string, l_linestatus string""",
+    "documents": "doc_id bigint, text string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-def _country(n: Column, nation: Column) -> Column:
-    return F.get(F.array(*(F.lit(s) for s in _SPELLINGS), nation), n % 9)
 
-
-def _padded(n: Column, width: int) -> Column:
-    return F.lpad(n.cast("string"), width, "0")
+def _country(n: str) -> str:
+    """Country spellings by residue of nine; the last one is the nation's own name."""
+    return f"get(array('USA', 'us', ' United States ', 'U.K.', 'England', 'CAN', '  ', null, n_name), {n} % 9)"
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
 
 
 def raw_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    email = (
-        F.when(key % 17 == 0, None)
-        .when(key % 19 == 0, "invalid-email")
-        .when(key % 23 == 0, F.format_string("a b%d@x.com", key))
-        .when(key % 10 < 3, F.format_string("u%d@mail.example.com", key - key % 10))
-        .otherwise(F.format_string("u%d@mail.example.com", key))
-    )
-    phone = (
-        F.when(key % 5 == 0, F.concat(F.lit("(555) "), _padded(key % 1000, 3), F.lit(".0001")))
-        .when(key % 5 == 1, F.concat(F.lit("555"), _padded(key % 10000000, 7)))
-        .when(key % 5 == 2, F.concat(F.lit("+1 555 "), _padded(key % 1000, 3), F.lit(" 0002")))
-        .when(key % 5 == 4, F.concat(F.lit("555-"), _padded(key % 1000, 3), F.lit("-0003")))
-    )
-    signup = F.date_add(F.lit(date(1994, 1, 1)), (key * 37 % 1500).cast("int"))
-    return _customers(spark, sf_dir).select(
-        key.alias("subscriber_id"),
-        F.when(key % 11 == 0, None).when(key % 13 == 0, "  ").otherwise(F.col("c_name")).alias("name"),
-        email.alias("email"),
-        phone.alias("phone"),
-        _country(F.col("c_nationkey"), F.col("n_name")).alias("country"),
-        F.when(key % 29 != 0, signup).alias("signup_date"),
-        (key % 60 + 18).cast("int").alias("age"),
+    return _customers(spark, sf_dir).selectExpr(
+        "c_custkey AS subscriber_id",
+        "CASE WHEN c_custkey % 11 = 0 THEN null WHEN c_custkey % 13 = 0 THEN '  ' ELSE c_name END AS name",
+        """CASE WHEN c_custkey % 17 = 0 THEN null
+            WHEN c_custkey % 19 = 0 THEN 'invalid-email'
+            WHEN c_custkey % 23 = 0 THEN concat('a b', c_custkey, '@x.com')
+            WHEN c_custkey % 10 < 3 THEN concat('u', c_custkey - c_custkey % 10, '@mail.example.com')
+            ELSE concat('u', c_custkey, '@mail.example.com') END AS email""",
+        """CASE c_custkey % 5
+            WHEN 0 THEN concat('(555) ', lpad(c_custkey % 1000, 3, '0'), '.0001')
+            WHEN 1 THEN concat('555', lpad(c_custkey % 10000000, 7, '0'))
+            WHEN 2 THEN concat('+1 555 ', lpad(c_custkey % 1000, 3, '0'), ' 0002')
+            WHEN 4 THEN concat('555-', lpad(c_custkey % 1000, 3, '0'), '-0003') END AS phone""",
+        f"{_country('c_nationkey')} AS country",
+        """CASE WHEN c_custkey % 29 <> 0
+            THEN date_add(DATE '1994-01-01', cast(c_custkey * 37 % 1500 AS int)) END AS signup_date""",
+        "cast(18 + c_custkey % 60 AS int) AS age",
     )
 
 
 def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One version a year per part, dates written in two formats by turns."""
-    versions = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_type", "p_retailprice", F.explode(F.sequence(F.lit(0), F.lit(VERSIONS_PER_PLAN - 1))).alias("k")
-    )
-    s, k = F.col("p_partkey") + F.col("k"), F.col("k")
-    year = (k + FIRST_YEAR).cast("string")
-    price = F.round(F.col("p_retailprice") * 100).cast("long") + 100 * k
-    us_format = k % 2 == 0
-    return versions.select(
-        F.when(s % 97 == 0, None).when(s % 101 == 0, "  ").otherwise(F.col("p_partkey").cast("string")).alias("plan_id"),
-        F.col("p_type").alias("plan_tier"),
-        cents(F.when(s % 31 == 0, None).when(s % 17 == 0, -500).otherwise(price)).alias("price_per_month"),
-        F.when(us_format, F.concat(F.lit("1/1/"), year)).otherwise(F.concat(year, F.lit("-01-01"))).alias("effective_date"),
-        F.when(k == VERSIONS_PER_PLAN - 1, None)
-        .when(us_format, F.concat(F.lit("12/31/"), year))
-        .otherwise(F.concat(year, F.lit("-12-31")))
-        .alias("end_date"),
+    """One version a year per part (1995 to 2001), dates written in two formats by turns."""
+    versions = table(spark, sf_dir, "part").selectExpr("*", "explode(sequence(0, 6)) AS k")
+    return versions.selectExpr(
+        """CASE WHEN (p_partkey + k) % 97 = 0 THEN null WHEN (p_partkey + k) % 101 = 0 THEN '  '
+            ELSE cast(p_partkey AS string) END AS plan_id""",
+        "p_type AS plan_tier",
+        """cast(0.01BD * CASE WHEN (p_partkey + k) % 31 = 0 THEN null WHEN (p_partkey + k) % 17 = 0 THEN -500
+            ELSE cast(round(p_retailprice * 100) AS bigint) + 100 * k END AS decimal(18, 4)) AS price_per_month""",
+        "CASE WHEN k % 2 = 0 THEN concat('1/1/', 1995 + k) ELSE concat(1995 + k, '-01-01') END AS effective_date",
+        """CASE WHEN k = 6 THEN null WHEN k % 2 = 0 THEN concat('12/31/', 1995 + k)
+            ELSE concat(1995 + k, '-12-31') END AS end_date""",
     )
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    )
-    customer, part, line = F.col("o_custkey"), F.col("l_partkey"), F.col("l_linenumber")
-    start = F.col("o_orderdate").cast("date")
-    end = F.date_add(start, (F.col("l_quantity") * 10).cast("int"))
-    status = (
-        F.when(F.col("l_returnflag") == "R", "cancelled")
-        .when(line == 7, None)
-        .when(line == 6, "Cancelled")
-        .otherwise("active")
+    lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    customers = _customers(spark, sf_dir)
+    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
+        customers, orders.o_custkey == customers.c_custkey
     )
-    return lines.select(
-        (F.col("l_orderkey") * 10 + line).alias("subscription_id"),
-        F.when(customer % 59 == 0, customer + 1000000000).otherwise(customer).alias("subscriber_id"),
-        F.when(part % 53 == 0, F.concat(F.lit("X"), part.cast("string"))).otherwise(part.cast("string")).alias("plan_id"),
-        F.date_format(start, "M/d/yyyy").alias("subscription_start_date"),
-        F.when(F.col("l_linestatus") != "O", F.date_format(end, "M/d/yyyy")).alias("subscription_end_date"),
-        status.alias("status"),
-        _country(F.col("c_nationkey") + line, F.col("n_name")).alias("billing_country"),
-        cents(
-            F.when(F.col("l_discount") != 0, F.round(F.col("l_extendedprice") * 100).cast("long"))
-        ).alias("monthly_charge"),
-        tenths((F.col("l_quantity").cast("long") % 41 + 10)).alias("satisfaction_rating"),
+    return lines.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS subscription_id",
+        "CASE WHEN o_custkey % 59 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END AS subscriber_id",
+        "concat(CASE WHEN l_partkey % 53 = 0 THEN 'X' ELSE '' END, l_partkey) AS plan_id",
+        "date_format(o_orderdate, 'M/d/yyyy') AS subscription_start_date",
+        """CASE WHEN l_linestatus <> 'O' THEN date_format(
+            date_add(cast(o_orderdate AS date), cast(l_quantity * 10 AS int)), 'M/d/yyyy')
+            END AS subscription_end_date""",
+        """CASE WHEN l_returnflag = 'R' THEN 'cancelled' WHEN l_linenumber = 7 THEN null
+            WHEN l_linenumber = 6 THEN 'Cancelled' ELSE 'active' END AS status""",
+        f"{_country('(c_nationkey + l_linenumber)')} AS billing_country",
+        """cast(0.01BD * CASE WHEN l_discount <> 0
+            THEN cast(round(l_extendedprice * 100) AS bigint) END AS decimal(18, 4)) AS monthly_charge""",
+        "cast(0.1BD * (cast(l_quantity AS bigint) % 41 + 10) AS decimal(9, 4)) AS satisfaction_rating",
     )
