@@ -41,7 +41,7 @@ ENRICHED_SUBSCRIPTIONS = _struct(
     subscription_end_date=_DATE, status=_TEXT, billing_country=_TEXT, monthly_charge=MONEY,
     satisfaction_rating=RATING, plan_tier=_TEXT, actual_monthly_price=MONEY, current_price=MONEY,
     total_subscriptions=_LONG, duration_days=_INT, long_term_subscriber=T.BooleanType(),
-    subscription_month=_TEXT, price_variance=T.DecimalType(21, 2), name=_TEXT, email=_TEXT, country=_TEXT,
+    subscription_month=_TEXT, price_variance=T.DecimalType(18, 2), name=_TEXT, email=_TEXT, country=_TEXT,
     age=_INT, signup_date=_DATE,
 )
 
