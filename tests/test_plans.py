@@ -1,0 +1,182 @@
+"""Shapes of the plans: what is read, what is shuffled, what never appears."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tariffbook.functions.text import trim_strings
+from tariffbook.operators import marts, plans, pricing, subscribers
+from tariffbook.plans import catalogue, jobs
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def configured(spark):
+    """Set configuration for one test."""
+    before = {}
+
+    def configure(**settings):
+        for name, value in settings.items():
+            key = "spark.sql." + name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield configure
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {"autoBroadcastJoinThreshold": "-1", "adaptive__autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.mark.parametrize("name", catalogue.queries())
+@pytest.mark.parametrize("settings", [{}, NO_BROADCAST])
+def test_no_python_no_cross_join(spark, configured, name, settings):
+    configured(**settings)
+    plan = plan_of(catalogue.queries()[name](spark, SF_DIR))
+    for operator in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit"):
+        assert operator not in plan
+    if settings:
+        # Without a size that allows it nothing is broadcast: no hint is in the way.
+        assert "BroadcastHashJoin" not in plan
+
+
+def test_windows_are_cut_before_the_shuffle(spark):
+    plan = plan_of(catalogue.queries()["dedup_earliest_signup"](spark, SF_DIR))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_marts_do_not_count_per_subscriber(spark):
+    """total_subscriptions costs a second pass over the fact; the marts do not use it."""
+    enriched = catalogue.Tables(spark, SF_DIR).enriched
+    assert plan_of(enriched).count("lineitem.parquet") == 2
+    for mart in jobs.build_marts(enriched):
+        assert plan_of(mart).count("lineitem.parquet") == 1
+
+
+def test_scans_read_used_columns_only(spark, tmp_path):
+    source = catalogue.Tables(spark, SF_DIR)
+    source.enriched.write.parquet(str(tmp_path / "enriched"))
+    enriched = spark.read.parquet(str(tmp_path / "enriched"))
+    month = enriched.filter(F.col("subscription_month") == "1996-01")
+    plan = plan_of(marts.monthly_revenue(trim_strings(month)))
+    columns = re.search(r"FileScan parquet \[([^\]]*)\]", plan).group(1)
+    assert sorted(re.sub(r"#\d+L?", "", columns).split(",")) == [
+        "actual_monthly_price", "billing_country", "plan_tier", "subscription_id", "subscription_month",
+    ]
+    assert "EqualTo(subscription_month,1996-01)" in plan
+
+
+def test_status_filter_reaches_the_scan(spark, tmp_path):
+    source = catalogue.Tables(spark, SF_DIR)
+    source.raw_subscriptions.write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    plan = plan_of(jobs.build_enriched(raw, source.subscribers, source.history))
+    assert re.search(r"PushedFilters: \[[^\]]*Not\(EqualTo\(status,cancelled\)\)", plan)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """One plan with a third of the subscriptions and most versions, one subscriber with another third.
+
+    A tenth of all rows are copies of one row.
+    """
+    folder = tmp_path_factory.mktemp("skewed")
+    facts = spark.range(0, 120000, 1, 8).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN 'copy' ELSE concat('F', id) END AS subscription_id",
+        "CASE WHEN id % 10 = 0 OR id % 3 = 0 THEN 'U7' ELSE concat('U', id % 5000) END AS subscriber_id",
+        "CASE WHEN id % 10 = 0 OR id % 3 = 1 THEN 'P7' ELSE concat('P', id % 300) END AS plan_id",
+        """date_format(date_add(DATE '2015-01-01', cast(CASE WHEN id % 10 = 0 THEN 5 ELSE id % 1100 END AS int)),
+            'M/d/yyyy') AS subscription_start_date""",
+        "cast(null AS string) AS subscription_end_date",
+        "'active' AS status",
+        "CASE WHEN id % 10 = 0 THEN 'US' ELSE md5(cast(id AS string)) END AS billing_country",
+        "'1.0' AS monthly_charge",
+        "'4.5' AS satisfaction_rating",
+    )
+    versions = (
+        spark.range(300)
+        .filter("id <> 7")
+        .selectExpr(
+            "concat('P', id) AS plan_id", "'Basic' AS plan_tier", "'1.5' AS price_per_month",
+            "'1/1/2015' AS effective_date", "cast(null AS string) AS end_date",
+        )
+        .union(
+            spark.range(1000).selectExpr(
+                "'P7'", "'Hot'", "cast(id AS string)",
+                "cast(date_add(DATE '2015-01-01', cast(id AS int)) AS string)",
+                "CASE WHEN id % 50 <> 49 THEN cast(date_add(DATE '2015-01-01', cast(id + id % 3 AS int)) AS string) END",
+            )
+        )
+    )
+    people = spark.range(5000).selectExpr(
+        "concat('U', id) AS subscriber_id", "'N' AS name", "concat('u', id, '@x.com') AS email",
+        "cast(null AS string) AS phone", "'US' AS country", "'2015-01-01' AS signup_date", "'3' AS age",
+    )
+    tables = {"facts": facts, "versions": versions, "people": people}
+    for name, df in tables.items():
+        df.write.parquet(str(folder / name))
+    return folder
+
+
+FACT_JOINS = [r"\[subscriber_id#", r"\[plan_id#\d+, xxhash64"]
+
+
+@pytest.mark.parametrize("strategy", ["bucketed", "plain"])
+def test_hot_keys_are_split(spark, configured, skewed, strategy):
+    configured(
+        **NO_BROADCAST,
+        shuffle__partitions="16",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    facts, versions, people = (spark.read.parquet(str(skewed / n)) for n in ("facts", "versions", "people"))
+    history, clean = plans.price_history(versions), subscribers.clean_subscribers(people)
+    enriched = jobs.build_enriched(facts, clean, history, None, strategy)
+    totals = enriched.agg(
+        F.count("*").alias("rows"),
+        F.sum("total_subscriptions").alias("totals"),
+        F.sum("actual_monthly_price").cast("double").alias("revenue"),
+        F.max("email").alias("email"),
+        F.max("billing_country").alias("country"),
+        F.max("duration_days").alias("days"),
+    )
+    row = totals.collect()[0]
+    final = plan_of(totals).split("== Initial Plan ==")[0]
+    for keys in FACT_JOINS:
+        assert re.search(rf"SortMergeJoin\(skew=true\) {keys}", final), keys
+
+    import duckdb
+
+    with duckdb.connect() as db:
+        for name in ("facts", "versions", "people"):
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{skewed}/{name}/*.parquet'")
+        expected = db.sql("""
+            WITH h AS (SELECT plan_id, CAST(price_per_month AS DECIMAL(18, 4)) AS price,
+                    CAST(coalesce(try_strptime(effective_date, '%m/%d/%Y'), try_strptime(effective_date, '%Y-%m-%d')) AS DATE) AS a,
+                    coalesce(CAST(end_date AS DATE), DATE '9999-12-31') AS b FROM versions),
+                p AS (SELECT f.subscriber_id, h.price FROM facts f LEFT JOIN h ON f.plan_id = h.plan_id
+                    AND CAST(strptime(subscription_start_date, '%m/%d/%Y') AS DATE) BETWEEN a AND b
+                    WHERE f.plan_id IN (SELECT plan_id FROM h)),
+                c AS (SELECT *, count(*) OVER (PARTITION BY subscriber_id) AS n FROM p)
+            SELECT count(*), sum(n), CAST(sum(price) AS DOUBLE) FROM c
+            WHERE subscriber_id IN (SELECT subscriber_id FROM people)""").fetchall()[0]
+    assert (row.rows, row.totals, row.revenue) == expected
+
+
+def test_versions_are_not_blown_up(spark, skewed):
+    """Bucketing adds at most a row per plan and month while versions do not overlap; sentinels add none."""
+    versions = spark.read.parquet(str(skewed / "versions"))
+    history = plans.price_history(versions.filter("end_date IS NOT NULL OR plan_id <> 'P7'"))
+    bucketed = pricing._bucketed_versions(history, plans.plan_summary(history))
+    per_plan = {r.plan_id: r.n for r in bucketed.groupBy("plan_id").agg(F.count("*").alias("n")).collect()}
+    assert all(n == 1 for plan, n in per_plan.items() if plan != "P7")
+    dense = history.filter("plan_id = 'P7'").count()
+    assert dense < per_plan["P7"] < dense * 1.1
