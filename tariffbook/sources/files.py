@@ -18,10 +18,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def read_csv_by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The schema's columns, as text, from a CSV that may hold them in any order among others.
+
+    Only a header line is read ahead. A further file with another header is an error.
+    """
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path).select(*schema.names)
+
+
 def read_raw(spark: SparkSession, source_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw subscribers, plans and subscriptions, all columns as text."""
     subscribers, plans, subscriptions = (
-        read_csv(spark, f"{source_dir}/{name}", schema) for name, schema in RAW_FILES.items()
+        read_csv_by_name(spark, f"{source_dir}/{name}", schema) for name, schema in RAW_FILES.items()
     )
     return subscribers, plans, subscriptions
 

@@ -69,9 +69,9 @@ def start_intake(
 ) -> StreamingQuery:
     """Take in what is new under ``source_dir`` and stop.
 
-    Rows go to ``table_dir/batch_id=<n>``, one ledger row per file to
-    ``ledger_dir/batch_id=<n>``. Both are overwritten as a whole and rows are
-    written first, so a batch that is replayed after a failure ends the same.
+    Rows go to ``table_dir/batch_id=<n>``, then one ledger row per file to
+    ``ledger_dir/batch_id=<n>``. Both are overwritten as a whole and depend on
+    earlier batches only, so a batch replayed after a failure ends the same.
     With ``archive_dir`` Spark moves a consumed file there when a later batch
     commits.
     """
@@ -90,10 +90,12 @@ def start_intake(
         # The ledger is created by the first batch; own rows of a replay are not looked at.
         session.createDataFrame([], LEDGER).write.mode("ignore").partitionBy("batch_id").parquet(ledger_dir)
         earlier = read_ledger(session, ledger_dir).filter(F.col("batch_id") < batch_id)
-        entries = ledger_entries(file_digests(batch), earlier)
+        # One row per file, used twice; cached so the files are hashed once.
+        entries = ledger_entries(file_digests(batch), earlier).cache()
         accepted = entries.filter("accepted").select("path")
         batch.join(accepted, "path").write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
         entries.write.mode("overwrite").parquet(f"{ledger_dir}/batch_id={batch_id}")
+        entries.unpersist()
 
     return (
         incoming.writeStream.foreachBatch(take_in)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tariffbook.schemas import RAW_PLANS
-from tariffbook.sources.files import read_csv
+from tariffbook.sources.files import read_csv, read_csv_by_name
 from tariffbook.sources.manifest import expected_files, listing, missing_inputs, require_inputs
 from tariffbook.streaming import intake
 
@@ -103,6 +103,16 @@ def test_header_must_match_the_schema(spark, tmp_path):
         read_csv(spark, str(tmp_path / "plans.csv"), RAW_PLANS).collect()
 
 
+def test_columns_found_by_name(spark, tmp_path):
+    lines = ["end_date,note,plan_id,effective_date,price_per_month,plan_tier", ",x,P1,1/1/2024,9.99,Basic"]
+    (tmp_path / "plans.csv").write_text("\n".join(lines))
+    df = read_csv_by_name(spark, str(tmp_path), RAW_PLANS)
+    assert [tuple(r) for r in df.collect()] == [("P1", "Basic", "9.99", "1/1/2024", None)]
+    (tmp_path / "plans2.csv").write_text("\n".join([HEADER, *LINES]))
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv_by_name(spark, str(tmp_path), RAW_PLANS).collect()
+
+
 def test_raw_columns_are_text(spark, tmp_path):
     (tmp_path / "plans.csv").write_text(golden.PLANS)
     df = read_csv(spark, str(tmp_path / "plans.csv"), RAW_PLANS)
