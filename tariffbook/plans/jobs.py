@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tariffbook.functions.dates import AsOf
 from tariffbook.functions.text import trim_strings
@@ -18,8 +19,12 @@ from tariffbook.operators.subscriptions import (
     not_cancelled,
     type_subscriptions,
 )
-from tariffbook.sources.files import export_csv, read_raw, write_table
+from tariffbook.schemas import ENRICHED_SUBSCRIPTIONS, RAW_FILES
+from tariffbook.sources.files import export_csv, write_table
 from tariffbook.sources.manifest import require_inputs
+from tariffbook.streaming.intake import latest_batch, start_intake
+
+RawTables = tuple[DataFrame, DataFrame, DataFrame]
 
 
 def priced_subscriptions(raw_subscriptions: DataFrame, history: DataFrame, strategy: str = "bucketed") -> DataFrame:
@@ -51,31 +56,84 @@ def build_marts(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return subscriber_summary(trimmed), monthly_revenue(trimmed)
 
 
-def run(spark: SparkSession, source_dir: str, output_dir: str, as_of: AsOf = None) -> dict[str, Observation]:
-    """Raw CSVs to staged tables, rejects and marts under ``output_dir``, a folder all executors share.
+class Stage:
+    """Writes tables below one folder that all executors share, and keeps a row count of each."""
 
-    Every stage is read back from what it wrote, so nothing is computed twice
-    and a lost executor costs at most the stage at hand. The priced fact is a
-    stage of its own since both the counts and the join need it. Returns a row
-    count per written table, taken while writing.
-    """
-    counts: dict[str, Observation] = {}
+    def __init__(self, spark: SparkSession, output_dir: str) -> None:
+        self.spark, self.output_dir = spark, output_dir
+        self.rows: dict[str, Observation] = {}
+
+    def table(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """Write a table and read it back, which cuts the lineage: a lost executor costs this stage at most."""
+        counted, self.rows[name] = observed(df, name)
+        write_table(counted, self._path(name), partition_by)
+        return self.read(name, df.schema)
+
+    def read(self, name: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self._path(name))
+
+    def report(self, name: str, df: DataFrame) -> None:
+        counted, self.rows[name] = observed(df, name)
+        export_csv(counted, f"{self.output_dir}/analytics/{name}")
 
-    def staged(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        path = f"{output_dir}/staged/{name}"
-        counted, counts[name] = observed(df, name)
-        write_table(counted, path, partition_by)
-        return spark.read.schema(df.schema).parquet(path)
+    def _path(self, name: str) -> str:
+        return f"{self.output_dir}/staged/{name}"
 
+
+def ingest(spark: SparkSession, source_dir: str, landing_dir: str, archive_dir: str | None = None) -> None:
+    """Take the three inputs into the landing zone; what was taken in before is left alone.
+
+    Nothing is taken in unless all three are present.
+    """
     require_inputs(spark, source_dir)
-    raw_subscribers, raw_plans, raw_subscriptions = read_raw(spark, source_dir)
-    subscribers = staged("clean_subscribers", clean_subscribers(raw_subscribers))
-    history = staged("plan_price_history", price_history(raw_plans, as_of))
-    priced = staged("priced_subscriptions", priced_subscriptions(raw_subscriptions, history))
-    enriched = staged("enriched_subscriptions", enrich(priced, subscribers, as_of), ["subscription_month"])
-    staged("rejects", rejects(raw_subscribers, raw_plans, raw_subscriptions, subscribers, history))
-
-    for name, mart in zip(("subscriber_summary", "monthly_revenue"), build_marts(enriched)):
-        counted, counts[name] = observed(mart, name)
-        export_csv(counted, f"{output_dir}/analytics/{name}")
-    return counts
+    for name, schema in RAW_FILES.items():
+        folder = f"{landing_dir}/{name.removesuffix('.csv')}"
+        query = start_intake(
+            spark, source_dir, name, schema.names,
+            f"{folder}/rows", f"{folder}/ledger", f"{folder}/checkpoint", archive_dir=archive_dir,
+        )
+        query.awaitTermination()
+
+
+def landed(spark: SparkSession, landing_dir: str) -> RawTables:
+    """The last delivery of each input."""
+
+    def last(name: str, schema: StructType) -> DataFrame:
+        rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())]))
+        folder = f"{landing_dir}/{name.removesuffix('.csv')}/rows"
+        return latest_batch(rows.parquet(folder)).select(*schema.names)
+
+    subscribers, plans, subscriptions = (last(name, schema) for name, schema in RAW_FILES.items())
+    return subscribers, plans, subscriptions
+
+
+def transform(spark: SparkSession, raw: RawTables, output_dir: str, as_of: AsOf = None) -> dict[str, Observation]:
+    """Raw tables to staged tables and rejects. The counts per table were taken while writing.
+
+    The priced fact is a stage of its own, since both the count per subscriber
+    and the join to the subscribers need it.
+    """
+    raw_subscribers, raw_plans, raw_subscriptions = raw
+    stage = Stage(spark, output_dir)
+    subscribers = stage.table("clean_subscribers", clean_subscribers(raw_subscribers))
+    history = stage.table("plan_price_history", price_history(raw_plans, as_of))
+    priced = stage.table("priced_subscriptions", priced_subscriptions(raw_subscriptions, history))
+    stage.table("enriched_subscriptions", enrich(priced, subscribers, as_of), ["subscription_month"])
+    stage.table("rejects", rejects(*raw, subscribers, history))
+    return stage.rows
+
+
+def analytics(spark: SparkSession, output_dir: str) -> dict[str, Observation]:
+    """The two reports, from the staged fact."""
+    stage = Stage(spark, output_dir)
+    summary, revenue = build_marts(stage.read("enriched_subscriptions", ENRICHED_SUBSCRIPTIONS))
+    stage.report("subscriber_summary", summary)
+    stage.report("monthly_revenue", revenue)
+    return stage.rows
+
+
+def run(spark: SparkSession, source_dir: str, output_dir: str, as_of: AsOf = None) -> dict[str, Observation]:
+    """All three steps. Landing zone, staged tables and reports all lie under ``output_dir``."""
+    landing_dir = f"{output_dir}/landing"
+    ingest(spark, source_dir, landing_dir)
+    return transform(spark, landed(spark, landing_dir), output_dir, as_of) | analytics(spark, output_dir)

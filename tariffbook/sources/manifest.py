@@ -11,8 +11,8 @@ from tariffbook.schemas import RAW_FILES
 
 
 def listing(spark: SparkSession, source_dir: str) -> DataFrame:
-    """``file_name, path, length, modification_time`` of the files in a directory; contents are not read."""
-    files = spark.read.format("binaryFile").load(source_dir)
+    """``file_name, path, length, modification_time`` of all files below a folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source_dir)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "path",

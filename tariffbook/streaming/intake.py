@@ -56,10 +56,25 @@ def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger_dir)
 
 
+def _header(spark: SparkSession, source_dir: str, file_name: str) -> StructType:
+    """All columns of the first file found, in file order, as text."""
+    return spark.read.options(**_options(file_name)).csv(source_dir).schema
+
+
+def _options(file_name: str) -> dict[str, str]:
+    return {
+        "header": "true",
+        "enforceSchema": "false",
+        "recursiveFileLookup": "true",
+        "pathGlobFilter": file_name,
+    }
+
+
 def start_intake(
     spark: SparkSession,
     source_dir: str,
-    schema: StructType,
+    file_name: str,
+    columns: list[str],
     table_dir: str,
     ledger_dir: str,
     checkpoint_dir: str,
@@ -67,18 +82,17 @@ def start_intake(
     archive_dir: str | None = None,
     max_files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Take in what is new under ``source_dir`` and stop.
+    """Take in what is new under ``source_dir``, in any subfolder, with a name like ``file_name``; then stop.
 
     Rows go to ``table_dir/batch_id=<n>``, then one ledger row per file to
     ``ledger_dir/batch_id=<n>``. Both are overwritten as a whole and depend on
     earlier batches only, so a batch replayed after a failure ends the same.
     With ``archive_dir`` Spark moves a consumed file there when a later batch
-    commits.
+    commits. A path is read once: a new delivery needs a new name or folder.
     """
     reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        spark.readStream.schema(_header(spark, source_dir, file_name))
+        .options(**_options(file_name))
         .option("maxFilesPerTrigger", max_files_per_batch)
     )
     if archive_dir:
@@ -93,7 +107,8 @@ def start_intake(
         # One row per file, used twice; cached so the files are hashed once.
         entries = ledger_entries(file_digests(batch), earlier).cache()
         accepted = entries.filter("accepted").select("path")
-        batch.join(accepted, "path").write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+        landed = batch.join(accepted, "path").select("path", *columns)
+        landed.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
         entries.write.mode("overwrite").parquet(f"{ledger_dir}/batch_id={batch_id}")
         entries.unpersist()
 

@@ -13,7 +13,7 @@ HEADER, *LINES = golden.PLANS.strip().splitlines()
 
 
 def write(folder, name, lines):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("\n".join([HEADER, *lines]) + "\n")
 
 
@@ -23,7 +23,7 @@ def place(spark, tmp_path):
 
     def take_in(**options):
         query = intake.start_intake(
-            spark, str(source), RAW_PLANS, str(tmp_path / "table"), str(tmp_path / "ledger"),
+            spark, str(source), "*.csv", RAW_PLANS.names, str(tmp_path / "table"), str(tmp_path / "ledger"),
             str(tmp_path / options.pop("checkpoint", "checkpoint")), **options,
         )
         query.awaitTermination()
@@ -80,6 +80,16 @@ def test_small_batches_and_archive(place, tmp_path):
     assert len(left) + len(moved) == 3
 
 
+def test_other_column_order_and_further_columns(place):
+    source, take_in = place
+    source.mkdir()
+    lines = ["end_date,note,plan_id,effective_date,price_per_month,plan_tier", ",x,P1,1/1/2024,9.99,Basic"]
+    (source / "a.csv").write_text("\n".join(lines))
+    _, landed = take_in()
+    assert [tuple(r) for r in landed.select(*RAW_PLANS.names).collect()] == [("P1", "Basic", "9.99", "1/1/2024", None)]
+    assert set(landed.columns) == {"path", "batch_id", *RAW_PLANS.names}
+
+
 def test_digest_ignores_row_order_but_not_content(spark):
     def digest(rows):
         df = spark.createDataFrame(rows, "a string, b string").withColumn("path", F.lit("p"))
