@@ -42,10 +42,8 @@ HEADLINE = [
 ]
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+def session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -56,6 +54,14 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    spark = session()
+    cpus = spark.sparkContext.defaultParallelism
     queries = catalogue.queries()
 
     def timed(name: str) -> float:
@@ -76,7 +82,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
-                "cpus": int(cpus),
+                "cpus": cpus,
                 "runs": runs,
             }
         )
