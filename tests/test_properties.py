@@ -43,7 +43,7 @@ version = st.tuples(st.sampled_from("AB"), day, st.one_of(day, st.just(date(9999
 subscription = st.tuples(st.sampled_from("ABC"), st.one_of(day, st.none()))
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, derandomize=True, database=None, suppress_health_check=list(HealthCheck))
 @given(
     versions=st.lists(version, min_size=1, max_size=30),
     facts=st.lists(subscription, min_size=1, max_size=30),
