@@ -4,10 +4,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_point
+from tariffbook.plans import catalogue, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = catalogue.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def connection():
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
