@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tariffbook.llm import url_filters
+from tariffbook.llm import id_shards, packing, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op3_packing": packing.op3_packing,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op9_id_shards": id_shards.op9_id_shards,
 }
 SQL: dict[str, str] = {"op1_url_filters": url_filters.OP1_SQL}
