@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tariffbook.llm import id_shards, packing, token_counts, url_filters
+from tariffbook.llm import (
+    chat,
+    digests,
+    id_shards,
+    importance,
+    licenses,
+    packing,
+    simhash,
+    token_counts,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op2_quality_classifier": importance.op2_quality_classifier,
     "op3_packing": packing.op3_packing,
+    "op4_simhash_dedup": simhash.op4_simhash_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op7_chat_windows": chat.op7_chat_windows,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_id_shards": id_shards.op9_id_shards,
+    "op10_document_digests": digests.op10_document_digests,
 }
 SQL: dict[str, str] = {"op1_url_filters": url_filters.OP1_SQL}
