@@ -1,23 +1,63 @@
-"""The corpus pipeline: stages over the documents table, each a call of one operator."""
+"""The corpus pipeline: stages over the documents table, each a call of one operator.
+
+Stages take out documents by id. Rows that share an id are one document to
+them: all go if one is rejected. A row without an id is never taken out. Each
+of the first three returns the columns of ``docs`` as they are, whatever they
+are called; the last returns pieces of packed windows. An empty table stays
+empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tariffbook.llm import decontaminate, importance, packing, simhash
+from tariffbook.llm.common import staged
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the documents whose id is in ``rejected``."""
+    gone = rejected.select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling keeps."""
+    judged = importance.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, judged.where("NOT keep"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one that names it."""
+    return _without(docs, simhash.near_duplicates(docs).where("doc_id <> component_id"))
+
 
-from tariffbook.llm import packing
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the kept documents in windows of 2048."""
-    return packing.pack_documents(docs)
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids in windows of 2048, with the checksum of their ids."""
+    return packing.packed_digest(packing.pack_documents(docs))
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality classifier", quality),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packed),
+]
+# Fingerprints, latent search and tokenizers are beyond SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = staged(docs, "stage")
     return docs

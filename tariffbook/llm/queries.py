@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tariffbook.llm import (
     chat,
+    decontaminate,
     digests,
     id_shards,
     importance,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": packing.op3_packing,
     "op4_simhash_dedup": simhash.op4_simhash_dedup,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_decontamination": decontaminate.op6_decontamination,
     "op7_chat_windows": chat.op7_chat_windows,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_id_shards": id_shards.op9_id_shards,
