@@ -38,7 +38,7 @@ from tariffbook.llm.common import new_path, text_or_empty
 from tariffbook.llm.tokenizing import json_encoder
 
 BLOCK = 1 << 18  # ids of a block; a longer document has a block of its own
-BUCKET = 4096  # keys of an index bucket, on average
+BUCKET, TRIALS = 4096, 32  # keys of an index bucket, on average; displacements tried at a time
 BLOCKS_SCHEMA = (
     "shard bigint, block bigint, start bigint, n_ids bigint, payload binary, "
     "keys array<bigint>, offsets array<bigint>, lengths array<bigint>"
@@ -47,10 +47,10 @@ INDEX_SCHEMA = "bucket bigint, n bigint, displace binary, prints binary, shard b
 ADDRESS = ["shard", "block", "offset", "length"]
 
 
-def mix(keys: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit mix of integer keys."""
+def mix(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
+    """A 64-bit mix of integer keys; a seed for all or one for each."""
     with np.errstate(over="ignore"):
-        z = keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(seed + 1)
+        z = keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (np.asarray(seed).astype(np.uint64) + np.uint64(1))
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
@@ -60,11 +60,12 @@ def build_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Displacements and slots of a minimal perfect hash function of distinct keys.
 
     Keys that share a group are moved together by the least displacement that
-    gives all of them free slots, large groups first; the key of a group of one
-    gets a free slot outright, kept as a negative number.
+    gives all of them free slots, large groups first, ``TRIALS`` tried at a
+    time; the key of a group of one gets a free slot outright, kept as a
+    negative number.
     """
     n = len(keys)
-    groups = max(1, n // 3)
+    groups = max(1, n // 2)
     group = (mix(keys, 0) % np.uint64(groups)).astype(np.int64)
     displace, taken, slots = np.zeros(groups, np.int64), np.zeros(n, bool), np.zeros(n, np.int64)
     order = np.argsort(group, kind="stable")
@@ -74,14 +75,15 @@ def build_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(rows) == 1:
             single.append(rows[0])
             continue
-        d = 1
-        while True:
-            at = (mix(keys[rows], d) % np.uint64(n)).astype(np.int64)
-            if not taken[at].any() and len(set(at.tolist())) == len(at):
-                break
-            d += 1
-        displace[group[rows[0]]], slots[rows] = d, at
-        taken[at] = True
+        first, found = 1, np.zeros(0, np.int64)
+        while not len(found):
+            tried = np.arange(first, first + TRIALS)
+            at = (mix(keys[rows][None, :], tried[:, None]) % np.uint64(n)).astype(np.int64)
+            ordered = np.sort(at, axis=1)
+            found = np.flatnonzero(~taken[at].any(1) & (ordered[:, 1:] != ordered[:, :-1]).all(1))
+            first += TRIALS
+        at = at[found[0]]
+        displace[group[rows[0]]], slots[rows], taken[at] = tried[found[0]], at, True
     for row, slot in zip(single, np.flatnonzero(~taken)):
         displace[group[row]], slots[row] = -slot - 1, slot
     return displace, slots
@@ -90,11 +92,7 @@ def build_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def find_slots(keys: np.ndarray, displace: np.ndarray, n: int) -> np.ndarray:
     """The slot of each key; any slot for keys that the function was not built for."""
     d = displace[(mix(keys, 0) % np.uint64(len(displace))).astype(np.int64)]
-    slots = -d - 1
-    for value in np.unique(d[d >= 0]):
-        rows = d == value
-        slots[rows] = (mix(keys[rows], int(value)) % np.uint64(n)).astype(np.int64)
-    return slots
+    return np.where(d < 0, -d - 1, (mix(keys, np.maximum(d, 0)) % np.uint64(n)).astype(np.int64))
 
 
 def prints(keys: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-LIMIT = 1_200_000  # entries of a cache, some 200 MB; when it is full, the first met quarter stays, which has the common ones
+LIMIT = 600_000  # entries of a cache, some 100 MB; when it is full, the first met quarter stays, which has the common ones
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"([{LETTERS}]+)([!-&(-/:-@[-`{{-~]*)")
 ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
