@@ -26,7 +26,7 @@ gives empty files and results; other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tariffbook.llm.common import new_path, text_or_empty
 from tariffbook.llm.tokenizing import json_encoder
 
-BLOCK = 1 << 18  # ids of a block; a longer document has a block of its own
+BLOCK = 1 << 16  # ids of a block; a longer document has a block of its own
 BUCKET, TRIALS = 4096, 32  # keys of an index bucket, on average; displacements tried at a time
 BLOCKS_SCHEMA = (
     "shard bigint, block bigint, start bigint, n_ids bigint, payload binary, "
@@ -99,6 +99,7 @@ def prints(keys: np.ndarray) -> np.ndarray:
     return (mix(keys, 1_000_003) >> np.uint64(32)).astype(np.uint32)
 
 
+@lru_cache(maxsize=4)
 def _encoder(path: str, kind: str):
     import tokenizers
 
@@ -106,6 +107,12 @@ def _encoder(path: str, kind: str):
     return json_encoder(path, kind, "<u2" if narrow else "<u4")
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _blocks(width: int):
     """Turns sorted rows (shard, doc_id, ids) into block rows."""
 
@@ -121,7 +128,7 @@ def _blocks(width: int):
             return pa.RecordBatch.from_pylist([row], schema=BLOCKS_ARROW)
 
         held = 0
-        for batch in batches:
+        for batch in _slices(batches, 512):
             for s, key, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 n = len(ids) // width
                 if keys and (s != shard or held + n > BLOCK):
@@ -181,7 +188,7 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, kind)
-        for batch in batches:
+        for batch in _slices(batches, 512):
             ids = pa.array([encoder.encode(t) + end for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
@@ -254,16 +261,16 @@ def slices(spark: SparkSession, folder: str) -> DataFrame:
     by_shard = {r["shard"]: (r["base"], r["width"]) for r in shards.collect()}  # one row per shard
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                base, width = by_shard[row["shard"]]
-                payload = np.frombuffer(row["payload"], f"<u{width}").astype("<u4")
-                n = len(row["offsets"])
-                yield pa.RecordBatch.from_pydict({
-                    "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
-                    "length": row["lengths"], "start": [base + row["start"] + o for o in row["offsets"]],
-                    "ids": [payload[o : o + m].tobytes() for o, m in zip(row["offsets"], row["lengths"])],
-                })
+        for one in _slices(batches, 1):
+            row = one.to_pylist()[0]
+            base, width = by_shard[row["shard"]]
+            payload = np.frombuffer(row["payload"], f"<u{width}").astype("<u4")
+            n = len(row["offsets"])
+            yield pa.RecordBatch.from_pydict({
+                "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
+                "length": row["lengths"], "start": [base + row["start"] + o for o in row["offsets"]],
+                "ids": [payload[o : o + m].tobytes() for o, m in zip(row["offsets"], row["lengths"])],
+            })
 
     schema = "shard bigint, block bigint, offset bigint, length bigint, start bigint, ids binary"
     return blocks.mapInArrow(cut, schema)
