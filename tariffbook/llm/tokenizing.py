@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-LIMIT = 400_000  # entries of a cache, some 70 MB; when it is full, the first met quarter stays, which has the common ones
+LIMIT = 500_000  # entries of a cache, some 90 MB; when it is full, the first met quarter stays, which has the common ones
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"([{LETTERS}]+)([!-&(-/:-@[-`{{-~]*)")
 ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
