@@ -13,6 +13,11 @@ def money(c: Column) -> Column:
     return c.try_cast(MONEY)
 
 
+def not_negative(c: Column) -> Column:
+    """The sign as given, before any rounding: a very small negative amount is negative."""
+    return c.try_cast("double") >= 0
+
+
 def rating(c: Column) -> Column:
     return c.try_cast(RATING)
 

@@ -26,8 +26,11 @@ SPACES = r"\t-\r\x1c-\x1f\x85\p{Z}"
 EMAIL = rf"^[{SPACES}]*[^@{SPACES}]+@[^@{SPACES}]+\.[^@{SPACES}]+[{SPACES}]*$"
 # The same for plain ASCII without outer white space; far cheaper, and fits nearly all values.
 ASCII_EMAIL = r"^[!-?A-~]+@[!-?A-~]+\.[!-?A-~]+$"
-# Runs of digits and phone punctuation, long enough to hold ten digits.
-PHONE_TOKEN = r"[+(]?[0-9][0-9() .-]{8,18}[0-9]"
+# Three, three and four digits, with a country code or not, that stand alone: addresses and card numbers do not fit.
+PHONE_TOKEN = (
+    r"(?<![0-9A-Za-z.()+-])(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
+    r"(?![0-9A-Za-z()+-]|\.[0-9A-Za-z])"
+)
 
 
 def is_blank(c: Column) -> Column:
@@ -81,5 +84,5 @@ def words_with_at(text: Column) -> Column:
 
 
 def phone_tokens(text: Column) -> Column:
-    """Array of the phone-like digit runs of a text."""
+    """Array of the phone numbers in a text, by their shape."""
     return F.regexp_extract_all(text, F.lit(PHONE_TOKEN), F.lit(0))

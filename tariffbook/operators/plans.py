@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffbook.functions.dates import AsOf, active_flag, end_or_open, parse_date
-from tariffbook.functions.numbers import money
+from tariffbook.functions.numbers import money, not_negative
 from tariffbook.functions.text import is_blank
 
 
 def valid_plan_rows(raw: DataFrame) -> DataFrame:
     """Rows with a plan id and a price of zero or more. A dropped version leaves a gap in its plan."""
-    priced = raw.withColumn("price_per_month", money(F.col("price_per_month")))
-    return priced.filter(~is_blank(F.col("plan_id")) & (F.col("price_per_month") >= 0))
+    price = F.col("price_per_month")
+    kept = raw.filter(~is_blank(F.col("plan_id")) & money(price).isNotNull() & not_negative(price))
+    return kept.withColumn("price_per_month", money(price))
 
 
 def price_history(raw: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -8,22 +8,17 @@ from pyspark.sql import functions as F
 from tariffbook.operators.plans import plan_summary
 from tariffbook.operators.skew import lookup_join
 
-# A plan with more versions than this is matched month by month.
-DENSE_VERSIONS = 64
-
-
 def _month_number(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c)
 
 
 def _bucket(day: Column) -> Column:
-    """Join bucket of a day: its month in a plan with many versions, zero in any other.
+    """Join bucket of a day: its month.
 
     Days after the plan's last effective date share that date's month: whatever
     version is valid then is also valid there.
     """
-    month = _month_number(F.least(day, F.col("last_effective")))
-    return F.when(F.col("versions") > DENSE_VERSIONS, month).otherwise(0)
+    return _month_number(F.least(day, F.col("last_effective")))
 
 
 def _bucketed_versions(history: DataFrame, summary: DataFrame) -> DataFrame:
@@ -34,7 +29,7 @@ def _bucketed_versions(history: DataFrame, summary: DataFrame) -> DataFrame:
     Versions that can match nothing (a missing or reversed bound) are left out.
     """
     matchable = history.filter(F.col("effective_date") <= F.col("end_date"))
-    spans = lookup_join(matchable, summary.select("plan_id", "versions", "last_effective"), "plan_id")
+    spans = lookup_join(matchable, summary.select("plan_id", "last_effective"), "plan_id")
     buckets = F.sequence(_bucket(F.col("effective_date")), _bucket(F.col("end_date")))
     return spans.select(
         "plan_id",
@@ -72,7 +67,7 @@ def resolve_prices(
 
     ``bucketed`` joins on plan and bucket, so a plan with a large share of all
     versions and subscriptions is spread over its months, and no row is compared
-    with more than a month's versions (or ``DENSE_VERSIONS``). ``plain`` joins
+    with more than a month's versions. ``plain`` joins
     on the plan alone, for histories known to have few versions per plan.
     Neither forces a broadcast: Spark does that where the measured size allows.
     """

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffbook.functions.numbers import money
+from tariffbook.functions.numbers import money, not_negative
 from tariffbook.functions.text import is_blank, is_valid_email
 from tariffbook.operators.plans import plan_keys
 from tariffbook.operators.skew import lookup_join
@@ -34,7 +34,7 @@ def _subscriber_outcomes(raw: DataFrame) -> DataFrame:
 def _plan_outcomes(raw: DataFrame) -> DataFrame:
     price = money(F.col("price_per_month"))
     rule = F.when(is_blank(F.col("plan_id")), "blank_plan_id").when(
-        price.isNull() | (price < 0), "null_or_negative_price"
+        price.isNull() | ~not_negative(F.col("price_per_month")), "null_or_negative_price"
     )
     return raw.select(*_outcome("plan_id", rule)).filter(F.col("rule").isNotNull())
 

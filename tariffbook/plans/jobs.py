@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tariffbook.functions.dates import AsOf
 from tariffbook.functions.text import trim_strings
@@ -21,8 +20,7 @@ from tariffbook.operators.subscriptions import (
 )
 from tariffbook.schemas import ENRICHED_SUBSCRIPTIONS, RAW_FILES
 from tariffbook.sources.files import export_csv, write_table
-from tariffbook.sources.manifest import require_inputs
-from tariffbook.streaming.intake import latest_batch, start_intake
+from tariffbook.streaming import intake
 
 RawTables = tuple[DataFrame, DataFrame, DataFrame]
 
@@ -80,30 +78,23 @@ class Stage:
         return f"{self.output_dir}/staged/{name}"
 
 
-def ingest(spark: SparkSession, source_dir: str, landing_dir: str, archive_dir: str | None = None) -> None:
-    """Take the three inputs into the landing zone; what was taken in before is left alone.
+TABLES = {name.removesuffix(".csv"): schema for name, schema in RAW_FILES.items()}
 
-    Nothing is taken in unless all three are present.
-    """
-    require_inputs(spark, source_dir)
-    for name, schema in RAW_FILES.items():
-        folder = f"{landing_dir}/{name.removesuffix('.csv')}"
-        query = start_intake(
-            spark, source_dir, name, schema.names,
-            f"{folder}/rows", f"{folder}/ledger", f"{folder}/checkpoint", archive_dir=archive_dir,
-        )
-        query.awaitTermination()
 
+def ingest(spark: SparkSession, source_dir: str, landing_dir: str) -> None:
+    """Take the waiting deliveries into the landing zone, one after the other; known contents are not landed again.
 
-def landed(spark: SparkSession, landing_dir: str) -> RawTables:
-    """The last delivery of each input."""
+    A delivery is a folder below ``source_dir`` (or that folder itself). Nothing
+    is taken in unless each waiting delivery holds all three inputs.
+    """
+    intake.ingest(spark, source_dir, landing_dir, TABLES)
 
-    def last(name: str, schema: StructType) -> DataFrame:
-        rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())]))
-        folder = f"{landing_dir}/{name.removesuffix('.csv')}/rows"
-        return latest_batch(rows.parquet(folder)).select(*schema.names)
 
-    subscribers, plans, subscriptions = (last(name, schema) for name, schema in RAW_FILES.items())
+def landed(spark: SparkSession, landing_dir: str) -> RawTables:
+    """The newest delivery of the three inputs."""
+    subscribers, plans, subscriptions = (
+        intake.current(spark, landing_dir, table, schema) for table, schema in TABLES.items()
+    )
     return subscribers, plans, subscriptions
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from tariffbook.functions.text import EMAIL, PHONE_TOKEN, SPACES
-
-_EMAIL = EMAIL.strip("^$")
+# White space of any kind, and addresses: one @, then a dot, none of them twice.
+_SPACE = r"\s\v\x1c-\x1f\x85\p{Z}"
+_EMAIL = rf"[{_SPACE}]*[^@{_SPACE}]+@[^@{_SPACE}]+\.[^@{_SPACE}]+[{_SPACE}]*"
+# Phones: without look-around, so every sign that may stand between two of them is doubled first.
+_DOUBLED = "regexp_replace(text, '([^0-9A-Za-z.()+-])', '\\1\\1', 'g')"
+_NUMBER = r"(?:\+?\d{1,3}(?:  |[.-]))?(?:\(\d\d\d\)(?:  )?|\d\d\d(?:  |[.-])?)\d\d\d(?:  |[.-])?\d\d\d\d"
+_ALONE = rf"(?:^|[^0-9A-Za-z.()+-])({_NUMBER})(?:$|\.$|[^0-9A-Za-z.()+-]|\.[^0-9A-Za-z])"
 _INPUT_TABLES = ("customer", "nation", "part", "orders", "lineitem", "documents")
 
 
@@ -158,11 +162,11 @@ _QUERIES = {
     "normalise_phone": f"SELECT subscriber_id, {_phone('phone')} AS phone FROM raw_subscribers",
     "phone_from_documents": f"""
         SELECT doc_id, token, {_phone('token')} AS phone
-        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{PHONE_TOKEN}')) AS token FROM documents)""",
+        FROM (SELECT doc_id, replace(unnest(regexp_extract_all({_DOUBLED}, '{_ALONE}', 1)), '  ', ' ') AS token FROM documents)""",
     "valid_email_filter": "SELECT subscriber_id, email FROM valid_subscribers",
     "email_from_documents": f"""
         SELECT doc_id, token, {_valid_email('token')} AS is_valid
-        FROM (SELECT doc_id, unnest(string_split_regex(text, '[{SPACES}]+')) AS token FROM documents)
+        FROM (SELECT doc_id, unnest(string_split_regex(text, '[{_SPACE}]+')) AS token FROM documents)
         WHERE contains(token, '@')""",
     "fill_missing_name": f"SELECT subscriber_id, {_name('name')} AS name FROM raw_subscribers",
     "trim_all_strings": """

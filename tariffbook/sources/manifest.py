@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tariffbook.schemas import RAW_FILES
 
 
-def listing(spark: SparkSession, source_dir: str) -> DataFrame:
-    """``file_name, path, length, modification_time`` of all files below a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source_dir)
+def listing(spark: SparkSession, source_dir: str, pattern: str = "*") -> DataFrame:
+    """``file_name, path, length, modification_time`` of the files below a folder whose name fits; contents are not read."""
+    options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
+    files = spark.read.format("binaryFile").options(**options).load(source_dir)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "path",
@@ -32,7 +33,8 @@ def missing_inputs(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 def require_inputs(spark: SparkSession, source_dir: str, names: Iterable[str] = RAW_FILES) -> None:
     """Fail with all missing names at once. An action, over the few expected names only."""
-    missing = missing_inputs(expected_files(spark, names), listing(spark, source_dir))
+    wanted = list(names)
+    missing = missing_inputs(expected_files(spark, wanted), listing(spark, source_dir, "{" + ",".join(wanted) + "}"))
     absent = sorted(row.file_name for row in missing.collect())
     if absent:
         raise FileNotFoundError(f"not found in {source_dir}: {', '.join(absent)}")

@@ -1,20 +1,31 @@
-"""Take in each new file once, skip known contents, keep a ledger.
-
-A file stream remembers which paths it has seen (checkpoint). On top of that a
-file whose content was taken in before, under any name and in any earlier run,
-is entered in the ledger as a duplicate and its rows are left out.
+"""Take in deliveries: each as a whole, each content once, the ledger says what is current.
+
+A delivery is a folder with files. What is new is decided by a listing against
+the ledger (path, length, time of change), never by age, and deliveries are
+taken in one by one, the oldest first. Rows land by the content of their file,
+so a content that was taken in before, in any delivery, is not landed again but
+entered in the ledger as known; the ledger leads from a delivery to its rows.
+Current are all files of the newest delivery without a file that could not be read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tariffbook.operators.profiling import row_md5
+from tariffbook.sources.files import read_csv_by_name
+from tariffbook.sources.manifest import listing
 
-LEDGER = "path string, content_md5 string, rows bigint, accepted boolean, batch_id bigint"
+LEDGER = (
+    "delivery string, table string, path string, length bigint, modified bigint, "
+    "content_md5 string, rows bigint, state string, number bigint"
+)
 
 
 def _half(md5: Column, start: int) -> Column:
@@ -38,89 +49,107 @@ def file_digests(rows: DataFrame) -> DataFrame:
     return sums.select("path", digest.alias("content_md5"), "rows")
 
 
-def ledger_entries(digests: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Digests with ``accepted``: content neither in the ledger nor under a smaller path of the same batch."""
-    known = ledger.filter("accepted").select("content_md5").distinct().withColumn("_known", F.lit(True))
+def ledger_entries(digests: DataFrame, landed: DataFrame) -> DataFrame:
+    """Digests with ``state``: ``landed`` for a content that is new, ``known`` for one landed before or under a smaller path."""
+    known = landed.select("content_md5").distinct().withColumn("_known", F.lit(True))
     first = digests.groupBy("content_md5").agg(F.min("path").alias("_first_path"))
+    new = F.col("_known").isNull() & (F.col("path") == F.col("_first_path"))
     return (
         digests.join(first, "content_md5")
         .join(known, "content_md5", "left")
-        .select(
-            "path", "content_md5", "rows",
-            (F.col("_known").isNull() & (F.col("path") == F.col("_first_path"))).alias("accepted"),
-        )
+        .select("path", "content_md5", "rows", F.when(new, "landed").otherwise("known").alias("state"))
     )
 
 
-def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(ledger_dir)
-
-
-def _header(spark: SparkSession, source_dir: str, file_name: str) -> StructType:
-    """All columns of the first file found, in file order, as text."""
-    return spark.read.options(**_options(file_name)).csv(source_dir).schema
-
-
-def _options(file_name: str) -> dict[str, str]:
-    return {
-        "header": "true",
-        "enforceSchema": "false",
-        "recursiveFileLookup": "true",
-        "pathGlobFilter": file_name,
-    }
+def read_ledger(spark: SparkSession, landing_dir: str) -> DataFrame:
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{landing_dir}/ledger")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)  # nothing was taken in yet
 
 
-def start_intake(
-    spark: SparkSession,
-    source_dir: str,
-    file_name: str,
-    columns: list[str],
-    table_dir: str,
-    ledger_dir: str,
-    checkpoint_dir: str,
-    *,
-    archive_dir: str | None = None,
-    max_files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Take in what is new under ``source_dir``, in any subfolder, with a name like ``file_name``; then stop.
+def pending(spark: SparkSession, source_dir: str, landing_dir: str, tables: Mapping[str, StructType]) -> list[list]:
+    """Files of each delivery that holds one the ledger lacks, the delivery changed longest ago first.
 
-    Rows go to ``table_dir/batch_id=<n>``, then one ledger row per file to
-    ``ledger_dir/batch_id=<n>``. Both are overwritten as a whole and depend on
-    earlier batches only, so a batch replayed after a failure ends the same.
-    With ``archive_dir`` Spark moves a consumed file there when a later batch
-    commits. A path is read once: a new delivery needs a new name or folder.
+    A table's files are ``<table>*.csv``. One row per listed file reaches the driver.
     """
-    reader = (
-        spark.readStream.schema(_header(spark, source_dir, file_name))
-        .options(**_options(file_name))
-        .option("maxFilesPerTrigger", max_files_per_batch)
-    )
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    incoming = reader.csv(source_dir).select("*", F.col("_metadata.file_path").alias("path"))
-
-    def take_in(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        # The ledger is created by the first batch; own rows of a replay are not looked at.
-        session.createDataFrame([], LEDGER).write.mode("ignore").partitionBy("batch_id").parquet(ledger_dir)
-        earlier = read_ledger(session, ledger_dir).filter(F.col("batch_id") < batch_id)
-        # One row per file, used twice; cached so the files are hashed once.
-        entries = ledger_entries(file_digests(batch), earlier).cache()
-        accepted = entries.filter("accepted").select("path")
-        landed = batch.join(accepted, "path").select("path", *columns)
-        landed.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
-        entries.write.mode("overwrite").parquet(f"{ledger_dir}/batch_id={batch_id}")
-        entries.unpersist()
-
-    return (
-        incoming.writeStream.foreachBatch(take_in)
-        .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def latest_batch(landed: DataFrame) -> DataFrame:
-    """Rows of the last batch that brought any: the state of a feed that always sends whole tables."""
-    newest = landed.agg(F.max("batch_id")).scalar()
-    return landed.filter(F.col("batch_id") == newest)
+    pattern = "{" + ",".join(f"{table}*.csv" for table in tables) + "}"
+    files = listing(spark, source_dir, pattern).select(
+        F.regexp_replace("path", "/[^/]*$", "").alias("delivery"), "file_name", "path", "length",
+        F.unix_micros("modification_time").alias("modified"),
+    )
+    known = read_ledger(spark, landing_dir).select("path", "length", "modified")
+    new = files.join(known, ["path", "length", "modified"], "left_anti").select("delivery").distinct()
+    found: dict[str, list] = {}
+    for file in files.join(new, "delivery").collect():
+        found.setdefault(file["delivery"], []).append(file)
+    return [found[d] for d in sorted(found, key=lambda d: (max(f["modified"] for f in found[d]), d))]
+
+
+def _table_of(file_name: str, tables: Mapping[str, StructType]) -> str:
+    return max((t for t in tables if file_name.startswith(t)), key=len)
+
+
+def take_in(spark: SparkSession, files: list, landing_dir: str, tables: Mapping[str, StructType], number: int) -> None:
+    """Lands one delivery and then writes its ledger rows; repeated after a failure it ends the same."""
+    ledger = read_ledger(spark, landing_dir).filter(F.col("number") < number)
+    entries = []
+    for table, schema in tables.items():
+        mine = [f for f in files if _table_of(f["file_name"], tables) == table]
+        good, read = {}, []
+        for file in mine:
+            try:  # its own header; columns are found by name
+                read.append(read_csv_by_name(spark, file["path"], schema).withColumn("path", F.lit(file["path"])))
+                good[file["path"]] = file
+            except AnalysisException:
+                entries.append((*_key(file, table), None, None, "unreadable"))
+        if not read:
+            continue
+        rows = reduce(DataFrame.unionAll, read)
+        landed = ledger.filter((F.col("table") == table) & (F.col("state") == "landed"))
+        judged = ledger_entries(file_digests(rows), landed).collect()  # one row per file
+        fresh = [(e["path"], e["content_md5"]) for e in judged if e["state"] == "landed"]
+        if fresh:
+            names = spark.createDataFrame(fresh, "path string, content string")
+            (
+                rows.join(names, "path").drop("path").write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy("content").parquet(f"{landing_dir}/{table}")
+            )
+        entries += [(*_key(good[e["path"]], table), e["content_md5"], e["rows"], e["state"]) for e in judged]
+        empty = good.keys() - {e["path"] for e in judged}
+        entries += [(*_key(good[path], table), None, 0, "empty") for path in sorted(empty)]
+    own = StructType([f for f in read_ledger(spark, landing_dir).schema if f.name != "number"])
+    spark.createDataFrame(entries, own).coalesce(1).write.mode("overwrite").parquet(f"{landing_dir}/ledger/number={number}")
+
+
+def _key(file, table: str) -> tuple:
+    return file["delivery"], table, file["path"], file["length"], file["modified"]
+
+
+def ingest(spark: SparkSession, source_dir: str, landing_dir: str, tables: Mapping[str, StructType]) -> None:
+    """Takes in every pending delivery. One that lacks a table fails, before anything of any delivery is taken in."""
+    waiting = pending(spark, source_dir, landing_dir, tables)
+    for files in waiting:
+        there = {_table_of(f["file_name"], tables) for f in files}
+        if absent := sorted(f"{t}.csv" for t in tables if t not in there):
+            raise FileNotFoundError(f"not found in {files[0]['delivery']}: {', '.join(absent)}")
+    if not waiting and read_ledger(spark, landing_dir).isEmpty():
+        raise FileNotFoundError(f"not found in {source_dir}: {', '.join(f'{t}.csv' for t in sorted(tables))}")
+    last = read_ledger(spark, landing_dir).agg(F.max("number")).first()[0]
+    for number, files in enumerate(waiting, 0 if last is None else last + 1):
+        take_in(spark, files, landing_dir, tables, number)
+
+
+def current(spark: SparkSession, landing_dir: str, table: str, schema: StructType) -> DataFrame:
+    """All rows of ``table`` in the newest delivery that could be read as a whole."""
+    ledger = read_ledger(spark, landing_dir)
+    bad = F.max((F.col("state") == "unreadable").cast("int"))
+    newest = ledger.groupBy("number").agg(bad.alias("bad")).filter("bad = 0").agg(F.max("number")).first()[0]
+    files = ledger.filter((F.col("number") == newest) & (F.col("table") == table) & F.col("content_md5").isNotNull())
+    contents = sorted({f["content_md5"] for f in files.select("content_md5").collect()})
+    if not contents:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("content", StringType())])).parquet(f"{landing_dir}/{table}")
+    return rows.filter(F.col("content").isin(contents)).select(*schema.names)

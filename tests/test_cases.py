@@ -146,9 +146,7 @@ EXPECTED_PRICES = sorted(
 
 
 @pytest.mark.parametrize("strategy", ["bucketed", "plain"])
-@pytest.mark.parametrize("dense", [0, 64])
-def test_resolution(small, monkeypatch, strategy, dense):
-    monkeypatch.setattr(pricing, "DENSE_VERSIONS", dense)
+def test_resolution(small, strategy):
     _, _, facts, people, history = small
     priced = pricing.resolve_prices(
         subscriptions.clean_subscriptions(facts, people, history), history, strategy=strategy

@@ -57,9 +57,17 @@ def test_trim_strings(spark):
 def test_document_tokens(spark):
     words = apply(spark, text.words_with_at, ["mail a@b.c, d@e now", "none", ""])
     assert words == [["a@b.c,", "d@e"], [], []]
-    assert apply(spark, text.phone_tokens, ["at (555) 234-5678 or 555.345.6789x", "12"]) == [
-        ["(555) 234-5678", "555.345.6789"], [],
-    ]
+    # A phone stands alone: no digit, dot or letter directly beside it.
+    cases = {
+        "at (555) 234-5678 or 555.345.6789.": ["(555) 234-5678", "555.345.6789"],
+        "555.345.6789x": [],
+        "12": [],
+        "555-123-4567 555-123-4568": ["555-123-4567", "555-123-4568"],
+        "13.149.130.89 and 190.137.223.204": [],
+        "+1 (826) 555-4081 190.137.223.204": ["+1 (826) 555-4081"],
+        "card 4785380592391139, 4785 3805 9239 1139": [],
+    }
+    assert apply(spark, text.phone_tokens, list(cases)) == list(cases.values())
 
 
 def test_dates(spark):
@@ -126,3 +134,7 @@ def test_numbers(spark):
 def test_sum_and_mean(spark, values, total, mean):
     df = spark.createDataFrame([(v,) for v in values], "v string").select(numbers.money(F.col("v")).alias("v"))
     assert tuple(df.agg(numbers.sum_2dp(F.col("v")), numbers.mean_2dp(F.col("v"))).first()) == (total, mean)
+
+
+def test_sign_counts_before_rounding(spark):
+    assert apply(spark, numbers.not_negative, ["-0.00001", "0", "0.00001", "x", None]) == [False, True, True, None, None]

@@ -1,4 +1,7 @@
-"""Incremental intake: new files once, known contents never, replays harmless."""
+"""Intake: deliveries stay whole, known contents are not landed twice, replays are harmless."""
+
+import os
+import time
 
 import golden
 import pytest
@@ -12,82 +15,129 @@ from tariffbook.streaming import intake
 HEADER, *LINES = golden.PLANS.strip().splitlines()
 
 
-def write(folder, name, lines):
+TABLES = {"plans": RAW_PLANS}
+
+
+def write(folder, name, lines, header=HEADER, days_ago=0):
     folder.mkdir(parents=True, exist_ok=True)
-    (folder / name).write_text("\n".join([HEADER, *lines]) + "\n")
+    (folder / name).write_text("\n".join([header, *lines]) + "\n")
+    when = time.time() - 86400 * days_ago
+    os.utime(folder / name, (when, when))
 
 
 @pytest.fixture
 def place(spark, tmp_path):
-    source = tmp_path / "source"
-
-    def take_in(**options):
-        query = intake.start_intake(
-            spark, str(source), "*.csv", RAW_PLANS.names, str(tmp_path / "table"), str(tmp_path / "ledger"),
-            str(tmp_path / options.pop("checkpoint", "checkpoint")), **options,
-        )
-        query.awaitTermination()
-        entries = intake.read_ledger(spark, str(tmp_path / "ledger")).collect()
-        landed = spark.read.parquet(str(tmp_path / "table"))
-        return {e.path.rsplit("/", 1)[-1]: (e.accepted, e.rows, e.batch_id) for e in entries}, landed
+    source, landing = tmp_path / "source", str(tmp_path / "landing")
+
+    def take_in():
+        intake.ingest(spark, str(source), landing, TABLES)
+        rows = [tuple(r) for r in intake.current(spark, landing, "plans", RAW_PLANS).collect()]
+        entries = intake.read_ledger(spark, landing).collect()
+        states = {"/".join(e.path.split("/")[-2:]): (e.number, e.state, e.rows) for e in entries}
+        return sorted(rows, key=str), states
 
     return source, take_in
 
 
-def test_known_content_is_skipped_across_runs(place):
+def parsed(lines):
+    return sorted((tuple(v or None for v in line.split(",")) for line in lines), key=str)
+
+
+def test_waiting_deliveries_do_not_mix(place):
+    source, take_in = place
+    write(source / "1", "plans.csv", LINES[:12], days_ago=2)
+    write(source / "2", "plans.csv", LINES[3:], days_ago=1)
+    rows, states = take_in()
+    assert rows == parsed(LINES[3:])
+    assert states == {"1/plans.csv": (0, "landed", 12), "2/plans.csv": (1, "landed", len(LINES) - 3)}
+    assert take_in() == (rows, states)
+
+
+def test_an_unchanged_part_stays(place):
     source, take_in = place
-    write(source, "a.csv", LINES[:5])
-    write(source, "b.csv", LINES[5:9])
-    ledger, landed = take_in()
-    assert ledger == {"a.csv": (True, 5, 0), "b.csv": (True, 4, 0)}
-    assert landed.count() == 9
-
-    write(source, "c.csv", LINES[:5])
-    write(source, "d.csv", LINES[9:])
-    write(source, "e.csv", LINES[9:])
-    ledger, landed = take_in()
-    assert ledger == {
-        "a.csv": (True, 5, 0), "b.csv": (True, 4, 0), "c.csv": (False, 5, 1), "d.csv": (True, 13, 1), "e.csv": (False, 13, 1),
-    }
-    assert landed.count() == 22
-    assert landed.groupBy("path").count().count() == 3
-    assert intake.latest_batch(landed).count() == 13
-
-    again, landed = take_in()
-    assert again == ledger
-    assert landed.count() == 22
-
-
-def test_same_content_again_from_the_start_is_a_replay(place):
-    """Without its checkpoint the stream starts at batch 0 again and ends with the same tables."""
+    write(source / "1", "plans-1.csv", LINES[:5], days_ago=2)
+    write(source / "1", "plans-2.csv", LINES[5:9], days_ago=2)
+    take_in()
+    write(source / "2", "plans-1.csv", LINES[:5], days_ago=1)
+    write(source / "2", "plans-2.csv", LINES[5:12], days_ago=1)
+    rows, states = take_in()
+    assert rows == parsed(LINES[:12])
+    assert states["2/plans-1.csv"] == (1, "known", 5)
+
+
+def test_a_rollback_counts(place):
     source, take_in = place
-    write(source, "a.csv", LINES[:5])
-    first, _ = take_in()
-    second, landed = take_in(checkpoint="lost")
-    assert second == first
-    assert landed.count() == 5
+    for number, lines in enumerate((LINES[:9], LINES[4:], LINES[:9])):
+        write(source / str(number), "plans.csv", lines, days_ago=9 - number)
+        rows, states = take_in()
+        assert rows == parsed(lines)
+    assert [s[1] for s in states.values()].count("known") == 1
 
 
-def test_small_batches_and_archive(place, tmp_path):
+def test_neither_age_nor_number_of_files_loses_rows(place):
     source, take_in = place
-    for i in range(3):
-        write(source, f"{i}.csv", LINES[i : i + 1])
-    archive = tmp_path / "archive"
-    ledger, landed = take_in(max_files_per_batch=1, archive_dir=str(archive))
-    assert sorted(batch for _, _, batch in ledger.values()) == [0, 1, 2]
-    assert landed.count() == 3
-    left, moved = list(source.glob("*.csv")), [p for p in archive.rglob("*.csv")]
-    assert len(left) + len(moved) == 3
+    write(source / "1", "plans.csv", LINES[:3], days_ago=1)
+    take_in()
+    for i, line in enumerate(LINES):
+        write(source / "2", f"plans-{i:02}.csv", [line], days_ago=400)
+    _, states = take_in()
+    assert len(states) == 1 + len(LINES)
+    assert all(state in ("landed", "known") for _, state, _ in states.values())
+    write(source / "3", "plans.csv", LINES[:4], days_ago=30)
+    rows, _ = take_in()
+    assert rows == parsed(LINES[:4])
+
+
+def test_other_column_order_in_a_later_delivery(place):
+    source, take_in = place
+    write(source / "1", "plans.csv", LINES[:3], days_ago=2)
+    take_in()
+    header = "end_date,note,plan_id,effective_date,price_per_month,plan_tier"
+    write(source / "2", "plans.csv", [",x,P1,1/1/2024,9.99,Basic"], header, days_ago=1)
+    rows, _ = take_in()
+    assert rows == [("P1", "Basic", "9.99", "1/1/2024", None)]
 
 
-def test_other_column_order_and_further_columns(place):
+def test_an_unreadable_file_is_set_aside(place):
     source, take_in = place
-    source.mkdir()
-    lines = ["end_date,note,plan_id,effective_date,price_per_month,plan_tier", ",x,P1,1/1/2024,9.99,Basic"]
-    (source / "a.csv").write_text("\n".join(lines))
-    _, landed = take_in()
-    assert [tuple(r) for r in landed.select(*RAW_PLANS.names).collect()] == [("P1", "Basic", "9.99", "1/1/2024", None)]
-    assert set(landed.columns) == {"path", "batch_id", *RAW_PLANS.names}
+    write(source / "1", "plans.csv", LINES[:3], days_ago=3)
+    before, _ = take_in()
+    write(source / "2", "plans.csv", ["1,2"], "other,columns", days_ago=2)
+    rows, states = take_in()
+    assert rows == before
+    assert states["2/plans.csv"] == (1, "unreadable", None)
+    write(source / "3", "plans.csv", LINES[:6], days_ago=1)
+    rows, _ = take_in()
+    assert rows == parsed(LINES[:6])
+
+
+def test_an_empty_file_is_an_empty_table(place):
+    source, take_in = place
+    write(source / "1", "plans.csv", LINES[:3], days_ago=2)
+    take_in()
+    write(source / "2", "plans.csv", [], days_ago=1)
+    rows, states = take_in()
+    assert (rows, states["2/plans.csv"]) == ([], (1, "empty", 0))
+
+
+def test_each_delivery_must_be_complete(spark, tmp_path):
+    both = {**TABLES, "others": RAW_PLANS}
+    write(tmp_path / "1", "plans.csv", LINES[:3], days_ago=2)
+    write(tmp_path / "1", "others.csv", LINES[:3], days_ago=2)
+    intake.ingest(spark, str(tmp_path), str(tmp_path / "landing"), both)
+    write(tmp_path / "2", "plans.csv", LINES[:4], days_ago=1)
+    with pytest.raises(FileNotFoundError, match="others.csv"):
+        intake.ingest(spark, str(tmp_path), str(tmp_path / "landing"), both)
+    assert intake.current(spark, str(tmp_path / "landing"), "plans", RAW_PLANS).count() == 3
+
+
+def test_a_delivery_taken_in_twice_ends_the_same(spark, tmp_path):
+    write(tmp_path / "1", "plans.csv", LINES[:5])
+    files = intake.pending(spark, str(tmp_path), str(tmp_path / "landing"), TABLES)[0]
+    for _ in range(2):
+        intake.take_in(spark, files, str(tmp_path / "landing"), TABLES, 0)
+    assert intake.current(spark, str(tmp_path / "landing"), "plans", RAW_PLANS).count() == 5
+    assert intake.read_ledger(spark, str(tmp_path / "landing")).count() == 1
 
 
 def test_digest_ignores_row_order_but_not_content(spark):

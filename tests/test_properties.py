@@ -47,11 +47,9 @@ subscription = st.tuples(st.sampled_from("ABC"), st.one_of(day, st.none()))
 @given(
     versions=st.lists(version, min_size=1, max_size=30),
     facts=st.lists(subscription, min_size=1, max_size=30),
-    dense=st.sampled_from([0, 3, 64]),
 )
-def test_resolution_is_the_plain_range_join(spark, monkeypatch, versions, facts, dense):
+def test_resolution_is_the_plain_range_join(spark, versions, facts):
     """Any overlaps, gaps, reversed or missing ends: all strategies equal brute force."""
-    monkeypatch.setattr(pricing, "DENSE_VERSIONS", dense)
     history = spark.createDataFrame(
         [(p, "T", price, start, end) for p, start, end, price in versions],
         "plan_id string, plan_tier string, price_per_month long, effective_date date, end_date date",
