@@ -94,10 +94,10 @@ class Packer:
     def close(self) -> list[list[Piece]]:
         """Ends all open windows; all but one of those returned are full."""
         rows = [(level, w) for level in range(self.capacity - 1, 0, -1) for w in self.by_level[level]]
-        hosts = -(-sum(level for level, _ in rows) // self.capacity)
+        hosts = sum(level for level, _ in rows) // self.capacity
         given = [piece for _, window in rows[hosts:] for piece in window][::-1]
         windows = []
-        for level, window in rows[:hosts]:
+        for level, window in [*rows[:hosts], (0, [])]:  # the last one takes what is left, less than a window
             while given and level < self.capacity:
                 piece = given.pop()
                 if len(piece) > self.capacity - level:
@@ -105,7 +105,8 @@ class Packer:
                     given.append(rest)
                 window.append(piece)
                 level += len(piece)
-            windows.append(window)
+            if window:
+                windows.append(window)
         self.__init__(self.capacity)
         return windows
 
