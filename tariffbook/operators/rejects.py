@@ -11,21 +11,19 @@ from tariffbook.functions.numbers import money, not_negative
 from tariffbook.functions.text import is_blank, is_valid_email
 from tariffbook.operators.plans import plan_keys
 from tariffbook.operators.skew import lookup_join
-from tariffbook.operators.subscribers import earliest_per_email, with_valid_email
 
 
 def _outcome(id_column: str, rule: Column, rows: int = 1) -> list[Column]:
     return [F.col(id_column).cast("string").alias("record_id"), rule.alias("rule"), F.lit(rows).alias("rows")]
 
 
-def _subscriber_outcomes(raw: DataFrame) -> DataFrame:
-    """All rows with the rule they would fail, and the kept rows again with a minus.
+def _subscriber_outcomes(raw: DataFrame, kept: DataFrame) -> DataFrame:
+    """All rows with the rule they would fail, and the kept (clean) rows again with a minus.
 
     Every valid row is first taken for a duplicate; the kept ones cancel out in
     the sum. So copies of a row are told apart without numbering them.
     """
     rule = F.when(is_valid_email(F.col("email")), "duplicate_email").otherwise("invalid_email")
-    kept = earliest_per_email(with_valid_email(raw))
     return raw.select(*_outcome("subscriber_id", rule)).union(
         kept.select(*_outcome("subscriber_id", F.lit("duplicate_email"), -1))
     )
@@ -96,7 +94,7 @@ def rejects(
     """``table, record_id, rule, rows``: dropped records with the number of rows dropped of each."""
     return _summed(
         {
-            "subscribers": _subscriber_outcomes(raw_subscribers),
+            "subscribers": _subscriber_outcomes(raw_subscribers, subscribers),
             "plans": _plan_outcomes(raw_plans),
             "subscriptions": _subscription_outcomes(raw_subscriptions, subscribers, history),
         },
@@ -115,7 +113,7 @@ def rejects_by_rule(
     """``table, rule, rows``."""
     return _summed(
         {
-            "subscribers": _subscriber_outcomes(raw_subscribers),
+            "subscribers": _subscriber_outcomes(raw_subscribers, subscribers),
             "plans": _plan_outcomes(raw_plans),
             "subscriptions": _subscription_totals(raw_subscriptions, subscribers, history),
         },

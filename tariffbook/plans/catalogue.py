@@ -23,11 +23,11 @@ from tariffbook.operators import (
 )
 from tariffbook.plans import jobs
 from tariffbook.sources import manifest, warehouse
+from tariffbook.streaming import intake
 
-# Files the manifest query looks for: the inputs of this catalogue, and the
-# names the same tables have when they are delivered ready made.
 INPUT_TABLES = ["customer", "nation", "part", "orders", "lineitem", "documents"]
-DELIVERED_TABLES = ["subscribers", "plans", "subscriptions"]
+# Languages in which every source of documents is expected to deliver a file.
+LANGUAGES = ["de", "en", "es", "fr", "it"]
 
 
 @dataclass
@@ -69,7 +69,9 @@ class Tables:
         return subscriptions.clean_subscriptions(self.raw_subscriptions, self.subscribers, self.history)
 
     def priced(self, strategy: str = "bucketed") -> DataFrame:
-        return pricing.resolve_prices(self.fact, self.history, strategy=strategy)
+        """The priced fact; the lookup of the current price drops unknown plans, so they need no semi join."""
+        known = subscriptions.with_known_subscriber(self.raw_subscriptions, self.subscribers)
+        return jobs.priced_subscriptions(known, self.history, strategy)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -281,10 +283,33 @@ def input_file_rows(t: Tables) -> DataFrame:
 
 
 def input_manifest_missing(t: Tables) -> DataFrame:
-    """Expected names without a file in the folder, or with a file that holds no row."""
-    names = [f"{name}.parquet" for name in INPUT_TABLES + DELIVERED_TABLES]
-    filled = manifest.listing(t.spark, t.sf_dir).join(input_file_rows(t), "file_name")
-    return manifest.missing_inputs(manifest.expected_files(t.spark, names), filled)
+    """Files that a source of documents should deliver, one per language, and does not."""
+    parts = t.source("documents").select("source", "lang").distinct()
+    names = F.explode(F.array(*(F.concat("source", F.lit(f"-{lang}")) for lang in LANGUAGES)))
+    present = parts.select(F.concat_ws("-", "source", "lang").alias("file_name"))
+    return manifest.missing_inputs(parts.select("source").distinct().select(names.alias("file_name")), present)
+
+
+def delivery_ledger(t: Tables) -> DataFrame:
+    """Ledger of two deliveries of the documents, a file per source.
+
+    The second delivery holds each file twice, and the last document of every
+    source whose highest id is even has been edited since the first.
+    """
+    docs = t.source("documents").select("doc_id", "text", "lang", "source")
+    first = docs.select(F.concat(F.lit("a/"), "source").alias("path"), "doc_id", "text", "lang")
+    last = docs.groupBy("source").agg(F.max("doc_id").alias("last")).filter("last % 2 = 0").select("last")
+    edited = docs.join(last, docs["doc_id"] == last["last"], "left")
+    text_now = F.when(F.col("last").isNotNull(), F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    second = edited.select(
+        F.explode(F.array(*(F.concat(F.lit("b/"), "source", F.lit(f"-{n}")) for n in (1, 2)))).alias("path"),
+        "doc_id", text_now.alias("text"), "lang",
+    )
+    digests = intake.file_digests(first)
+    entries = intake.ledger_entries(digests, digests.limit(0))
+    later = intake.ledger_entries(intake.file_digests(second), entries.filter("state = 'landed'"))
+    numbered = [df.select("path", F.lit(n).alias("number"), "rows", "state") for n, df in ((1, entries), (2, later))]
+    return numbered[0].union(numbered[1])
 
 
 QUERIES: list[Callable[[Tables], DataFrame]] = [
@@ -325,6 +350,7 @@ QUERIES: list[Callable[[Tables], DataFrame]] = [
     stage_row_counts,
     content_hash_dedup,
     input_manifest_missing,
+    delivery_ledger,
     input_file_rows,
 ]
 

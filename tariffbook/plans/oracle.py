@@ -42,6 +42,14 @@ def _date(c: str) -> str:
     return f"CAST(coalesce(try_strptime({c}, '%m/%d/%Y'), try_strptime({c}, '%Y-%m-%d')) AS DATE)"
 
 
+def _amount(cents: str) -> str:
+    return f"({cents} // 100) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0')"
+
+
+def _cents(c: str) -> str:
+    return f"CAST(100 * TRY_CAST({c} AS DECIMAL(18, 4)) AS BIGINT)"
+
+
 def _mean(x: str, per_unit: int) -> str:
     """Half-up mean to two places of a non-negative whole number counted in 1/per_unit."""
     scale = 100 // per_unit
@@ -63,20 +71,25 @@ _VIEWS = {
                 WHEN 2 THEN '+1 555 ' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') || ' 0002'
                 WHEN 4 THEN '555-' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') || '-0003' END AS phone,
             {_country_of('c_nationkey')} AS country,
-            CASE WHEN c_custkey % 29 <> 0
-                THEN DATE '1994-01-01' + CAST(c_custkey * 37 % 1500 AS INTEGER) END AS signup_date,
-            CAST(18 + c_custkey % 60 AS INTEGER) AS age
+            CASE WHEN c_custkey % 31 = 0 THEN 'last spring' WHEN c_custkey % 29 <> 0
+                THEN strftime(DATE '1994-01-01' + CAST(c_custkey * 37 % 1500 AS INTEGER), '%Y-%m-%d') END AS signup_date,
+            CASE WHEN c_custkey % 37 = 0 THEN 'forty' ELSE CAST(18 + c_custkey % 60 AS VARCHAR) END AS age
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "raw_plans": """
+    "raw_plans": f"""
         SELECT CASE WHEN s % 97 = 0 THEN NULL WHEN s % 101 = 0 THEN '  '
                 ELSE CAST(p_partkey AS VARCHAR) END AS plan_id,
             p_type AS plan_tier,
-            CASE WHEN s % 31 = 0 THEN NULL WHEN s % 17 = 0 THEN -500
-                ELSE CAST(round(p_retailprice * 100) AS BIGINT) + 100 * k END AS price_cents,
-            CASE WHEN k % 2 = 0 THEN '1/1/' || (1995 + k) ELSE (1995 + k) || '-01-01' END AS effective_date,
-            CASE WHEN k = 6 THEN NULL WHEN k % 2 = 0 THEN '12/31/' || (1995 + k)
+            CASE WHEN s % 31 = 0 THEN NULL WHEN s % 17 = 0 THEN '-5.00' WHEN s % 37 = 0 THEN '-0.00001'
+                WHEN s % 41 = 0 THEN 'on request' WHEN s % 43 = 0 THEN ''
+                ELSE {_amount('(CAST(round(p_retailprice * 100) AS BIGINT) + 100 * k)')} END AS price,
+            CASE WHEN p_partkey % 40 = 3 THEN strftime(week, '%Y-%m-%d')
+                WHEN k % 2 = 0 THEN '1/1/' || (1995 + k) ELSE (1995 + k) || '-01-01' END AS effective_date,
+            CASE WHEN p_partkey % 40 = 3 THEN CASE WHEN k = 364 THEN NULL WHEN k % 10 = 9 THEN 'open'
+                    ELSE strftime(week + CASE k % 10 WHEN 3 THEN 10 WHEN 6 THEN -3 ELSE 6 END, '%Y-%m-%d') END
+                WHEN k = 6 THEN NULL WHEN k % 2 = 0 THEN '12/31/' || (1995 + k)
                 ELSE (1995 + k) || '-12-31' END AS end_date
-        FROM (SELECT *, p_partkey + k AS s FROM (SELECT *, unnest(range(7)) AS k FROM part))""",
+        FROM (SELECT *, p_partkey + k AS s, DATE '1995-01-01' + CAST(7 * k AS INTEGER) AS week FROM (
+            SELECT *, unnest(range(CASE WHEN p_partkey % 40 = 3 THEN 365 ELSE 7 END)) AS k FROM part))""",
     "raw_subscriptions": f"""
         SELECT l_orderkey * 10 + l_linenumber AS subscription_id,
             CASE WHEN o_custkey % 59 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END AS subscriber_id,
@@ -87,32 +100,38 @@ _VIEWS = {
             CASE WHEN l_returnflag = 'R' THEN 'cancelled' WHEN l_linenumber = 7 THEN NULL
                 WHEN l_linenumber = 6 THEN 'Cancelled' ELSE 'active' END AS status,
             {_country_of('(c_nationkey + l_linenumber)')} AS billing_country,
-            CASE WHEN l_discount <> 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS charge_cents,
-            CAST(l_quantity AS BIGINT) % 41 + 10 AS rating_tenths
-        FROM (SELECT *, CAST(o_orderdate AS DATE) + CAST(l_quantity * 10 AS INTEGER) AS finish
+            CASE WHEN l_partkey % 19 = 0 THEN 'waived' WHEN l_partkey % 23 = 0 THEN ''
+                WHEN l_discount <> 0 THEN {_amount('CAST(round(l_extendedprice * 100) AS BIGINT)')} END AS charge,
+            CASE WHEN l_partkey % 29 = 0 THEN 'n/a'
+                ELSE (tenths // 10) || '.' || (tenths % 10) END AS rating
+        FROM (SELECT *, CAST(o_orderdate AS DATE) + CAST(l_quantity * 10 AS INTEGER) AS finish,
+                CAST(l_quantity AS BIGINT) % 41 + 10 AS tenths
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
             JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
     "valid_subscribers": f"SELECT * FROM raw_subscribers WHERE {_valid_email('email')}",
     "kept_subscribers": """
-        SELECT * FROM valid_subscribers QUALIFY row_number() OVER (
-            PARTITION BY email ORDER BY signup_date NULLS FIRST, subscriber_id) = 1""",
+        SELECT * REPLACE (TRY_CAST(signup_date AS DATE) AS signup_date, TRY_CAST(age AS INTEGER) AS age)
+        FROM valid_subscribers QUALIFY row_number() OVER (
+            PARTITION BY email ORDER BY TRY_CAST(valid_subscribers.signup_date AS DATE) NULLS FIRST, subscriber_id) = 1""",
     "subscribers": f"""
         SELECT subscriber_id, {_name('name')} AS name, email, {_phone('phone')} AS phone,
             {_normalised('country')} AS country, signup_date, age
         FROM kept_subscribers""",
-    "valid_plans": "SELECT * FROM raw_plans WHERE trim(plan_id) <> '' AND price_cents >= 0",
+    "valid_plans": f"""
+        SELECT *, {_cents('price')} AS price_cents FROM raw_plans
+        WHERE trim(plan_id) <> '' AND TRY_CAST(price AS DOUBLE) >= 0""",
     "history": f"""
         SELECT plan_id, plan_tier, price_cents, {_date('effective_date')} AS effective_date,
             CASE WHEN end_date IS NULL THEN DATE '9999-12-31' ELSE {_date('end_date')} END AS end_date
         FROM valid_plans""",
     "current_price": """
         SELECT plan_id, price_cents AS current_price_cents FROM history
-        QUALIFY row_number() OVER (PARTITION BY plan_id ORDER BY effective_date DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY plan_id ORDER BY effective_date DESC NULLS LAST) = 1""",
     "typed": f"""
         SELECT subscription_id, subscriber_id, plan_id, {_date('subscription_start_date')} AS subscription_start_date,
             {_date('subscription_end_date')} AS subscription_end_date, status,
-            {_normalised('billing_country')} AS billing_country, coalesce(charge_cents, 0) AS charge_cents,
-            rating_tenths
+            {_normalised('billing_country')} AS billing_country,
+            coalesce({_cents('charge')}, 0) AS charge_cents, CAST(10 * TRY_CAST(rating AS DECIMAL(9, 4)) AS BIGINT) AS rating_tenths
         FROM raw_subscriptions""",
     "fact": """
         SELECT * FROM typed WHERE subscriber_id IN (SELECT subscriber_id FROM subscribers)
@@ -136,6 +155,16 @@ _VIEWS = {
             count(subscription_id) AS num_active_subscriptions,
             {_mean('actual_cents', 100)} AS avg_price_in_effect
         FROM enriched GROUP BY ALL""",
+    "delivered_rows": """
+        SELECT 'a/' || source AS path, 1 AS number, doc_id, text, lang FROM documents
+        UNION ALL
+        SELECT 'b/' || source || '-' || part, 2, doc_id, CASE WHEN edited THEN text || '.' ELSE text END, lang
+        FROM (SELECT *, unnest(['1', '2']) AS part FROM (
+            SELECT *, doc_id % 2 = 0 AND doc_id = max(doc_id) OVER (PARTITION BY source) AS edited FROM documents))""",
+    "delivered_files": """
+        SELECT path, number, count(*) AS "rows",
+            list(struct_pack(doc_id := doc_id, text := text, lang := lang) ORDER BY doc_id, lang, text) AS content
+        FROM delivered_rows GROUP BY path, number""",
     "rejected_rows": f"""
         SELECT 'subscribers' AS "table", CAST(subscriber_id AS VARCHAR) AS record_id, 'invalid_email' AS rule
         FROM raw_subscribers WHERE NOT {_valid_email('email')}
@@ -145,7 +174,7 @@ _VIEWS = {
         UNION ALL
         SELECT 'plans', plan_id, CASE WHEN plan_id IS NULL OR trim(plan_id) = '' THEN 'blank_plan_id'
             ELSE 'null_or_negative_price' END
-        FROM raw_plans WHERE plan_id IS NULL OR trim(plan_id) = '' OR price_cents IS NULL OR price_cents < 0
+        FROM raw_plans WHERE plan_id IS NULL OR trim(plan_id) = '' OR NOT coalesce(TRY_CAST(price AS DOUBLE) >= 0, false)
         UNION ALL
         SELECT 'subscriptions', CAST(subscription_id AS VARCHAR), rule FROM (
             SELECT subscription_id,
@@ -185,7 +214,7 @@ _QUERIES = {
     "current_prices": "SELECT plan_id, current_price_cents FROM current_price",
     "dedup_earliest_signup": "SELECT email, subscriber_id, signup_date FROM kept_subscribers",
     "clean_subscribers": "SELECT * FROM subscribers",
-    "fill_monthly_charge": "SELECT subscription_id, coalesce(charge_cents, 0) / 100.0 AS charge FROM raw_subscriptions",
+    "fill_monthly_charge": "SELECT subscription_id, charge_cents / 100.0 AS charge FROM typed",
     "orphan_subscribers": """
         SELECT subscription_id FROM raw_subscriptions
         WHERE subscriber_id NOT IN (SELECT subscriber_id FROM subscribers)""",
@@ -254,11 +283,15 @@ _QUERIES = {
     "content_hash_dedup": """
         SELECT md5(text) AS content_md5, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY ALL""",
     "input_manifest_missing": """
-        SELECT unnest(['customer.parquet', 'nation.parquet', 'part.parquet', 'orders.parquet', 'lineitem.parquet',
-            'documents.parquet', 'subscribers.parquet', 'plans.parquet', 'subscriptions.parquet']) AS file_name
-        EXCEPT ({files})""".format(
-        files=" UNION ALL ".join(f"SELECT '{table}.parquet' FROM {table}" for table in _INPUT_TABLES)
-    ),
+        SELECT source || '-' || unnest(['de', 'en', 'es', 'fr', 'it']) AS file_name
+        FROM (SELECT DISTINCT source FROM documents)
+        EXCEPT SELECT source || '-' || lang FROM documents""",
+    "delivery_ledger": """
+        SELECT path, number, "rows",
+            CASE WHEN number = 2 AND content IN (SELECT content FROM delivered_files WHERE number = 1) THEN 'known'
+                WHEN row_number() OVER (PARTITION BY number, content ORDER BY path) > 1 THEN 'known'
+                ELSE 'landed' END AS state
+        FROM delivered_files""",
     "input_file_rows": "\n UNION ALL ".join(
         f"""SELECT '{table}.parquet' AS file_name, count(*) AS "rows" FROM {table}"""
         for table in _INPUT_TABLES

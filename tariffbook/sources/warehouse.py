@@ -2,6 +2,7 @@
 
 They carry the faults that the cleaning rules deal with: blanks, malformed and
 repeated emails, mixed date formats, bad prices, orphan keys, missing states.
+Amounts, ratings, ages and dates are text, as in raw files, some of it unreadable.
 All rules are functions of the keys, so the same rows come out everywhere.
 """
 
@@ -22,7 +23,7 @@ SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "lineitem": """l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,
         l_discount double, l_returnflag string, l_linestatus string""",
-    "documents": "doc_id bigint, text string",
+    "documents": "doc_id bigint, text string, lang string, source string",
 }
 
 
@@ -35,6 +36,11 @@ def _country(n: str) -> str:
     return f"get(array('USA', 'us', ' United States ', 'U.K.', 'England', 'CAN', '  ', null, n_name), {n} % 9)"
 
 
+def _amount(cents: str) -> str:
+    """Text of an amount of zero or more."""
+    return f"concat({cents} div 100, '.', lpad({cents} % 100, 2, '0'))"
+
+
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey)
@@ -55,23 +61,36 @@ def raw_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 2 THEN concat('+1 555 ', lpad(c_custkey % 1000, 3, '0'), ' 0002')
             WHEN 4 THEN concat('555-', lpad(c_custkey % 1000, 3, '0'), '-0003') END AS phone""",
         f"{_country('c_nationkey')} AS country",
-        """CASE WHEN c_custkey % 29 <> 0
-            THEN date_add(DATE '1994-01-01', cast(c_custkey * 37 % 1500 AS int)) END AS signup_date""",
-        "cast(18 + c_custkey % 60 AS int) AS age",
+        """CASE WHEN c_custkey % 31 = 0 THEN 'last spring' WHEN c_custkey % 29 <> 0
+            THEN cast(date_add(DATE '1994-01-01', cast(c_custkey * 37 % 1500 AS int)) AS string) END AS signup_date""",
+        "CASE WHEN c_custkey % 37 = 0 THEN 'forty' ELSE cast(18 + c_custkey % 60 AS string) END AS age",
     )
 
 
 def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One version a year per part (1995 to 2001), dates written in two formats by turns."""
-    versions = table(spark, sf_dir, "part").selectExpr("*", "explode(sequence(0, 6)) AS k")
-    return versions.selectExpr(
+    """One version a year per part (1995 to 2001), dates written in two formats by turns.
+
+    Every fortieth part has a version a week instead. Of these, some run into
+    the next week, some end before they start, some have an unreadable end.
+    """
+    versions = table(spark, sf_dir, "part").selectExpr(
+        "*", "p_partkey % 40 = 3 AS weekly", "explode(sequence(0, if(p_partkey % 40 = 3, 364, 6))) AS k"
+    )
+    dated = versions.selectExpr("*", "date_add(DATE '1995-01-01', 7 * k) AS week")
+    cents = "(cast(round(p_retailprice * 100) AS bigint) + 100 * k)"
+    return dated.selectExpr(
         """CASE WHEN (p_partkey + k) % 97 = 0 THEN null WHEN (p_partkey + k) % 101 = 0 THEN '  '
             ELSE cast(p_partkey AS string) END AS plan_id""",
         "p_type AS plan_tier",
-        """cast(0.01BD * CASE WHEN (p_partkey + k) % 31 = 0 THEN null WHEN (p_partkey + k) % 17 = 0 THEN -500
-            ELSE cast(round(p_retailprice * 100) AS bigint) + 100 * k END AS decimal(18, 4)) AS price_per_month""",
-        "CASE WHEN k % 2 = 0 THEN concat('1/1/', 1995 + k) ELSE concat(1995 + k, '-01-01') END AS effective_date",
-        """CASE WHEN k = 6 THEN null WHEN k % 2 = 0 THEN concat('12/31/', 1995 + k)
+        f"""CASE WHEN (p_partkey + k) % 31 = 0 THEN null WHEN (p_partkey + k) % 17 = 0 THEN '-5.00'
+            WHEN (p_partkey + k) % 37 = 0 THEN '-0.00001' WHEN (p_partkey + k) % 41 = 0 THEN 'on request'
+            WHEN (p_partkey + k) % 43 = 0 THEN '' ELSE {_amount(cents)} END AS price_per_month""",
+        """CASE WHEN weekly THEN cast(week AS string)
+            WHEN k % 2 = 0 THEN concat('1/1/', 1995 + k) ELSE concat(1995 + k, '-01-01') END AS effective_date""",
+        """CASE WHEN weekly THEN CASE WHEN k = 364 THEN null WHEN k % 10 = 3 THEN cast(date_add(week, 10) AS string)
+                WHEN k % 10 = 6 THEN cast(date_add(week, -3) AS string) WHEN k % 10 = 9 THEN 'open'
+                ELSE cast(date_add(week, 6) AS string) END
+            WHEN k = 6 THEN null WHEN k % 2 = 0 THEN concat('12/31/', 1995 + k)
             ELSE concat(1995 + k, '-12-31') END AS end_date""",
     )
 
@@ -93,7 +112,8 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN l_returnflag = 'R' THEN 'cancelled' WHEN l_linenumber = 7 THEN null
             WHEN l_linenumber = 6 THEN 'Cancelled' ELSE 'active' END AS status""",
         f"{_country('(c_nationkey + l_linenumber)')} AS billing_country",
-        """cast(0.01BD * CASE WHEN l_discount <> 0
-            THEN cast(round(l_extendedprice * 100) AS bigint) END AS decimal(18, 4)) AS monthly_charge""",
-        "cast(0.1BD * (cast(l_quantity AS bigint) % 41 + 10) AS decimal(9, 4)) AS satisfaction_rating",
+        f"""CASE WHEN l_partkey % 19 = 0 THEN 'waived' WHEN l_partkey % 23 = 0 THEN ''
+            WHEN l_discount <> 0 THEN {_amount('cast(round(l_extendedprice * 100) AS bigint)')} END AS monthly_charge""",
+        """CASE WHEN l_partkey % 29 = 0 THEN 'n/a' ELSE concat((cast(l_quantity AS bigint) % 41 + 10) div 10, '.',
+            (cast(l_quantity AS bigint) % 41 + 10) % 10) END AS satisfaction_rating""",
     )
