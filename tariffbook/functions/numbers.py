@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,10 +38,12 @@ def mean_2dp(c: Column) -> Column:
 
     ``avg`` of a decimal rounds once to its own scale and a second rounding to
     two places may then tip over, so the hundredths come from one integer
-    division: ``(200 * sum + n) div (2 * n)``.
+    division: ``(sum + n / 200) div (n / 100)``. The sum's type leaves room for
+    the half, or the addition would give up a decimal.
     """
-    total, n = F.sum(c), F.count(c)
-    hundredths = F.call_function("div", F.abs(total) * 200 + n, F.nullif(2 * n, F.lit(0)))
+    total, n = F.sum(c).try_cast("decimal(37,10)"), F.count(c)
+    half, unit = n * F.lit(Decimal("0.005")), F.nullif(n * F.lit(Decimal("0.01")), F.lit(Decimal("0.00")))
+    hundredths = F.call_function("div", F.abs(total) + half, unit)
     return (F.signum(total.cast("double")) * hundredths / F.lit(100.0)).cast("double")
 
 

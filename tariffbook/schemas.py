@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Exact numbers: sums do not depend on the order in which partitions arrive.
-MONEY = T.DecimalType(18, 4)
-RATING = T.DecimalType(9, 4)
+# Ten decimals are kept from the text to the sum; rounding comes last.
+MONEY = T.DecimalType(28, 10)
+RATING = T.DecimalType(18, 10)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -41,7 +42,7 @@ ENRICHED_SUBSCRIPTIONS = _struct(
     subscription_end_date=_DATE, status=_TEXT, billing_country=_TEXT, monthly_charge=MONEY,
     satisfaction_rating=RATING, plan_tier=_TEXT, actual_monthly_price=MONEY, current_price=MONEY,
     total_subscriptions=_LONG, duration_days=_INT, long_term_subscriber=T.BooleanType(),
-    subscription_month=_TEXT, price_variance=T.DecimalType(18, 2), name=_TEXT, email=_TEXT, country=_TEXT,
+    subscription_month=_TEXT, price_variance=T.DecimalType(22, 2), name=_TEXT, email=_TEXT, country=_TEXT,
     age=_INT, signup_date=_DATE,
 )
 

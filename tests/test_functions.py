@@ -111,8 +111,9 @@ def test_run_date_defaults_to_today(spark):
 
 
 def test_numbers(spark):
-    assert apply(spark, numbers.money, ["9.99", "-5", "junk", "", None, "1.23456"]) == [
-        Decimal("9.9900"), Decimal("-5.0000"), None, None, None, Decimal("1.2346"),
+    # Amounts keep their decimals until they are summed, and may be long.
+    assert apply(spark, numbers.money, ["9.99", "-5", "junk", "", None, "1.23456", "123456789012345678.5"]) == [
+        Decimal("9.9900"), Decimal("-5.0000"), None, None, None, Decimal("1.23456"), Decimal("123456789012345678.5"),
     ]
     assert apply(spark, numbers.charge_or_zero, ["9.99", "junk", None]) == [Decimal("9.99"), Decimal(0), Decimal(0)]
     assert apply(spark, numbers.money, [9.99, None], "double") == [Decimal("9.9900"), None]
@@ -128,6 +129,9 @@ def test_numbers(spark):
         (["-1", "-1", "-2"], -4.0, -1.33),
         (["0", "0"], 0.0, 0.0),
         (["4.25", None], 4.25, 4.25),
+        (["0.0049999999"], 0.0, 0.0),
+        (["0.0049999999", "0.0050000001"], 0.01, 0.01),
+        (["123456789012.3", "123456789012.4"], 246913578024.7, 123456789012.35),
         ([None, None], None, None),
     ],
 )

@@ -80,7 +80,7 @@ def test_status_filter_reaches_the_scan(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def skewed(spark, tmp_path_factory):
-    """One plan with a third of the subscriptions and most versions, one subscriber with another third.
+    """One plan with a third of the subscriptions, in one month, and most versions; one subscriber with another third.
 
     A tenth of all rows are copies of one row.
     """
@@ -89,7 +89,7 @@ def skewed(spark, tmp_path_factory):
         "CASE WHEN id % 10 = 0 THEN 'copy' ELSE concat('F', id) END AS subscription_id",
         "CASE WHEN id % 10 = 0 OR id % 3 = 0 THEN 'U7' ELSE concat('U', id % 5000) END AS subscriber_id",
         "CASE WHEN id % 10 = 0 OR id % 3 = 1 THEN 'P7' ELSE concat('P', id % 300) END AS plan_id",
-        """date_format(date_add(DATE '2015-01-01', cast(CASE WHEN id % 10 = 0 THEN 5 ELSE id % 1100 END AS int)),
+        """date_format(date_add(DATE '2015-01-01', cast(CASE WHEN id % 10 = 0 THEN 5 WHEN id % 3 = 1 THEN id % 25 ELSE id % 1100 END AS int)),
             'M/d/yyyy') AS subscription_start_date""",
         "cast(null AS string) AS subscription_end_date",
         "'active' AS status",
@@ -123,6 +123,7 @@ def skewed(spark, tmp_path_factory):
 
 
 FACT_JOINS = [r"\[subscriber_id#", r"\[plan_id#\d+, xxhash64"]
+PRICE_JOIN = {"bucketed": r"\[plan_id#\d+, _bucket#", "plain": r"\[plan_id#\d+\], \[plan_id"}
 
 
 @pytest.mark.parametrize("strategy", ["bucketed", "plain"])
@@ -147,7 +148,7 @@ def test_hot_keys_are_split(spark, configured, skewed, strategy):
     )
     row = totals.collect()[0]
     final = plan_of(totals).split("== Initial Plan ==")[0]
-    for keys in FACT_JOINS:
+    for keys in [*FACT_JOINS, PRICE_JOIN[strategy]]:
         assert re.search(rf"SortMergeJoin\(skew=true\) {keys}", final), keys
 
     import duckdb
@@ -177,3 +178,40 @@ def test_versions_are_not_blown_up(spark, skewed):
     assert all(n == 1 for plan, n in per_plan.items() if plan != "P7")
     dense = history.filter("plan_id = 'P7'").count()
     assert dense < per_plan["P7"] < dense * 1.1
+
+
+def test_catalogue_uses_many_buckets(spark):
+    """The given history has plans of hundreds of versions, overlaps included, in buckets of a month."""
+    tables = catalogue.Tables(spark, SF_DIR)
+    bucketed = pricing._bucketed_versions(tables.history, plans.plan_summary(tables.history))
+    used = bucketed.agg(F.countDistinct("_bucket").alias("buckets"), F.count("*").alias("rows")).first()
+    assert used.buckets > 80
+    assert used.rows < tables.history.count() + 84 * plans.plan_keys(tables.history).count()
+    assert plans.plan_summary(tables.history).agg(F.max("versions")).first()[0] > 200
+    assert tables.priced().count() > tables.fact.count()
+
+
+# Most shuffles and scans of part and of customer, without broadcasts. The raw fact itself takes seven shuffles.
+LEAST_WORK = {
+    "price_variance": (19, 3, 2),
+    "unresolved_prices": (20, 3, 2),
+    "subscriber_summary": (21, 3, 2),
+    "input_manifest_missing": (4, 0, 0),
+}
+
+
+@pytest.mark.parametrize("name", LEAST_WORK)
+def test_shuffles_and_scans(spark, configured, name):
+    configured(**NO_BROADCAST)
+    plan = plan_of(catalogue.queries()[name](spark, SF_DIR))
+    found = [plan.count(s) for s in ("Exchange hashpartitioning", "part.parquet", "customer.parquet")]
+    assert all(n <= most for n, most in zip(found, LEAST_WORK[name])), found
+
+
+def test_rejects_sort_emails_once(spark, configured):
+    """The clean subscribers are the kept rows and the known ids: their window is shuffled once and used twice."""
+    configured(**NO_BROADCAST)
+    found = catalogue.queries()["rejects_by_rule"](spark, SF_DIR)
+    found.collect()
+    final = plan_of(found).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
