@@ -29,7 +29,7 @@ def price_history(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def plan_summary(history: DataFrame) -> DataFrame:
-    """One row per plan: its current price, number of versions and latest effective date.
+    """One row per plan: its current price, number of versions, first and last effective date.
 
     The current price is that of the latest effective date, even a future one;
     equal dates go to the later end, then the higher price. As an aggregate it
@@ -39,6 +39,7 @@ def plan_summary(history: DataFrame) -> DataFrame:
     return history.groupBy("plan_id").agg(
         latest["price_per_month"].alias("current_price"),
         F.count(F.lit(1)).alias("versions"),
+        F.min("effective_date").alias("first_effective"),
         F.max("effective_date").alias("last_effective"),
     )
 

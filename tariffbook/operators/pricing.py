@@ -8,28 +8,37 @@ from pyspark.sql import functions as F
 from tariffbook.operators.plans import plan_summary
 from tariffbook.operators.skew import lookup_join
 
-def _month_number(c: Column) -> Column:
-    return F.year(c) * 12 + F.month(c)
+# Fixed value: no bucket is shorter, however densely a plan's prices change.
+LEAST_BUCKET_DAYS = 30
+
+
+def _bucket_rule(summary: DataFrame) -> DataFrame:
+    """Adds ``bucket_days``: about the mean length of a plan's versions, so that a plan has as many buckets as versions."""
+    span = F.datediff("last_effective", "first_effective")
+    days = F.greatest(F.lit(LEAST_BUCKET_DAYS), F.ceil(span / F.col("versions")))
+    return summary.select("plan_id", "current_price", "first_effective", "last_effective", days.alias("bucket_days"))
 
 
 def _bucket(day: Column) -> Column:
-    """Join bucket of a day: its month.
+    """Join bucket of a day: how many of the plan's bucket lengths after its first effective date.
 
-    Days after the plan's last effective date share that date's month: whatever
-    version is valid then is also valid there.
+    Days after the plan's last effective date share that date's bucket:
+    whatever version is valid then is also valid there.
     """
-    return _month_number(F.least(day, F.col("last_effective")))
+    since = F.datediff(F.least(day, F.col("last_effective")), F.col("first_effective"))
+    return F.floor(since / F.col("bucket_days"))
 
 
 def _bucketed_versions(history: DataFrame, summary: DataFrame) -> DataFrame:
     """Versions once per bucket they touch.
 
-    Closed at the plan's last effective date, so an open end adds no months
-    beyond it. Without overlaps this adds at most one row per plan and month.
+    Closed at the plan's last effective date, so an open end adds no buckets
+    beyond it. Without overlaps this adds at most a row per version.
     Versions that can match nothing (a missing or reversed bound) are left out.
     """
     matchable = history.filter(F.col("effective_date") <= F.col("end_date"))
-    spans = lookup_join(matchable, summary.select("plan_id", "last_effective"), "plan_id")
+    rule = _bucket_rule(summary).drop("current_price")
+    spans = lookup_join(matchable, rule, "plan_id")
     buckets = F.sequence(_bucket(F.col("effective_date")), _bucket(F.col("end_date")))
     return spans.select(
         "plan_id",
@@ -66,13 +75,13 @@ def resolve_prices(
     version at all, which saves a separate semi join.
 
     ``bucketed`` joins on plan and bucket, so a plan with a large share of all
-    versions and subscriptions is spread over its months, and no row is compared
-    with more than a month's versions. ``plain`` joins
-    on the plan alone, for histories known to have few versions per plan.
+    versions and subscriptions is spread over its buckets, and no row is compared
+    with more versions than touch its bucket. ``plain`` joins on the plan alone, for histories known to have few versions per plan.
     Neither forces a broadcast: Spark does that where the measured size allows.
     """
     summary = plan_summary(history)
-    with_plan = lookup_join(fact, summary, "plan_id", "inner" if known_plans_only else "left")
+    looked_up = _bucket_rule(summary) if strategy == "bucketed" else summary.select("plan_id", "current_price")
+    with_plan = lookup_join(fact, looked_up, "plan_id", "inner" if known_plans_only else "left")
     day = F.col(at)
     valid = day.between(F.col("effective_date"), F.col("end_date"))
     if strategy == "bucketed":

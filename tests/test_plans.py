@@ -170,7 +170,7 @@ def test_hot_keys_are_split(spark, configured, skewed, strategy):
 
 
 def test_versions_are_not_blown_up(spark, skewed):
-    """Bucketing adds at most a row per plan and month while versions do not overlap; sentinels add none."""
+    """Bucketing adds at most a row per version while versions do not overlap; sentinels add none."""
     versions = spark.read.parquet(str(skewed / "versions"))
     history = plans.price_history(versions.filter("end_date IS NOT NULL OR plan_id <> 'P7'"))
     bucketed = pricing._bucketed_versions(history, plans.plan_summary(history))
@@ -181,12 +181,12 @@ def test_versions_are_not_blown_up(spark, skewed):
 
 
 def test_catalogue_uses_many_buckets(spark):
-    """The given history has plans of hundreds of versions, overlaps included, in buckets of a month."""
+    """The given history has plans of hundreds of versions, overlaps included, in many buckets."""
     tables = catalogue.Tables(spark, SF_DIR)
     bucketed = pricing._bucketed_versions(tables.history, plans.plan_summary(tables.history))
     used = bucketed.agg(F.countDistinct("_bucket").alias("buckets"), F.count("*").alias("rows")).first()
     assert used.buckets > 80
-    assert used.rows < tables.history.count() + 84 * plans.plan_keys(tables.history).count()
+    assert used.rows < 2.2 * tables.history.count()
     assert plans.plan_summary(tables.history).agg(F.max("versions")).first()[0] > 200
     assert tables.priced().count() > tables.fact.count()
 
