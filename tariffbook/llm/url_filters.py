@@ -71,7 +71,7 @@ def compiled(pattern: str) -> tuple[str, list[str]]:
     """The regular expression of a pattern, and the literal tokens that every match holds whole."""
     body, begin, end, left = pattern, "", "", False
     if body.startswith("||"):
-        body, begin, left = body[2:], r"^(?:[^/]*\.)?", True
+        body, begin, left = body[2:], r"^(?:[^/?#]*\.)?", True
     elif body.startswith("|"):
         body, begin, left = body[1:], "^", True
     right = body.endswith("|")
@@ -183,14 +183,14 @@ WITH u AS (
              WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
              WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
              WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule,
-        CASE WHEN regexp_matches(target, '^([^/]*\.)?casino[^/]*.*/bonus([^A-Za-z0-9_.%-]|$)', 's') THEN '||casino*/bonus^'
-             WHEN regexp_matches(target, '^([^/]*\.)?cheap-pills\.') THEN '||cheap-pills.'
-             WHEN regexp_matches(target, '^([^/]*\.)?casino-win\.') THEN '||casino-win.'
-             WHEN regexp_matches(target, '^([^/]*\.)?spam-farm\.') THEN '||spam-farm.'
-             WHEN regexp_matches(target, '^([^/]*\.)?free-bets\.') THEN '||free-bets.'
-             WHEN regexp_matches(target, '^([^/]*\.)?ads-track\.') THEN '||ads-track.'
+        CASE WHEN regexp_matches(target, '^([^/?#]*\.)?casino.*/bonus([^A-Za-z0-9_.%-]|$)', 's') THEN '||casino*/bonus^'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?cheap-pills\.') THEN '||cheap-pills.'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?casino-win\.') THEN '||casino-win.'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?spam-farm\.') THEN '||spam-farm.'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?free-bets\.') THEN '||free-bets.'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?ads-track\.') THEN '||ads-track.'
              WHEN contains(target, '/wp-login.') THEN '/wp-login.'
-             WHEN regexp_matches(target, '^([^/]*\.)?adult-x\.') THEN '||adult-x.'
+             WHEN regexp_matches(target, '^([^/?#]*\.)?adult-x\.') THEN '||adult-x.'
              WHEN contains(target, '/cgi-bin/') THEN '/cgi-bin/' END AS hit
     FROM t
 )

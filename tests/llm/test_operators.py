@@ -49,6 +49,7 @@ def test_url_filters_cases(spark):
         None, "", "no scheme/en/", "http://X.Example.COM/en/a?b", "http://www.example.com/en/", "http://example.com",
         "http://a.net/fr/x", "http://a.net/fr", "http://a.org/en/", "http://spam-farm.a.org", "http://notspam-farm.a.org/",
         "http://a.org/?u=/cgi-bin/x", "http://example.com/english/", "http://a.com?/en/",
+        "http://a.org?to=b.net/es/x", "http://a.org#b.com/", "http://a.org?b.spam-farm.net", "http://a.net/es",
     ]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)] * 2, "page_id int, url string, host string")
     judged = url_filters.judge(pages, url_filters.POLICY + url_filters.PATTERNS).collect()
@@ -56,7 +57,7 @@ def test_url_filters_cases(spark):
     assert len(judged) == 2 * len(urls)
     assert [found[i][0] for i in range(len(urls))] == [
         None, None, None, "example.com/en/", "www.example.com/en/", None, "net/fr/", None, None, "||spam-farm.", None,
-        "/cgi-bin/", "com/", None,
+        "/cgi-bin/", "com/", None, None, None, None, None,
     ]
     assert url_filters.judge(pages.limit(0), url_filters.POLICY).count() == 0
     open_rule = [url_filters.Rule("any", "*ngl*")]  # no whole token: tried on every url
