@@ -179,6 +179,12 @@ def test_decontamination(spark, docs, empty, texts):
     words = item.split()
     changed = spark.createDataFrame([(7, "x y z " * 30 + " ".join(w for i, w in enumerate(words) if i % 9))], "doc_id long, text string")
     assert decontaminate.decontaminate(changed, bench).select("item_id").collect()[0][0] == 1
+    spoken = "Été où l'âme naïve — «déçue» — rêva d'îles, près du Øresund à l'aube … écoutait la mer qui chantait"
+    signs = "東京の天気は明日から晴れるでしょう"
+    asked = spark.createDataFrame([(1, spoken), (2, signs)], "item_id long, text string")
+    written = [(1, f"A B. {spoken.upper()}! C"), (2, spoken.replace("«", "“ ").replace("—", "")), (3, f"前略。{signs}。以上"), (4, "où à la mer")]
+    held = decontaminate.decontaminate(spark.createDataFrame(written, "doc_id long, text string"), asked)
+    assert {(r["doc_id"], r["item_id"]) for r in held.collect()} == {(1, 1), (2, 1), (3, 2)}
     assert decontaminate.decontaminate(docs, bench.limit(0)).count() == 0
     assert decontaminate.decontaminate(empty, bench).count() == 0
 
