@@ -1,7 +1,9 @@
 """License scans: normalised text against licence templates by the Dice coefficient over word bigrams.
 
 A text is read as segments: each line, each block of lines between blank ones,
-and the whole. A segment's words are its runs of letters and digits in lower
+and the whole; where no such segment is like a template, also as runs of words
+within the size bound that begin and end with a bigram of the template, so that
+a notice inside a longer line is found. A segment's words are its runs of letters and digits in lower
 case; its bigrams are the set of its neighbouring words. The Dice coefficient is
 twice the shared bigrams over the sum of both counts, so for a coefficient of
 ``t`` the counts may differ by a factor of ``(2 - t) / t`` at most: only
@@ -111,8 +113,45 @@ class Scanner:
                     dice = 2 * len(grams & other) / (len(grams) + len(other))
                     if dice >= self.threshold:
                         found.add((name, number, start, len(segment), dice))
+        if self.most and text:
+            found.update(self.inside(text, found))
         return sorted(found)
 
+    def inside(self, text: str, found: set[tuple[str, int, int, int, float]]) -> Iterator[tuple[str, int, int, int, float]]:
+        """Runs of words that are like a template and meet no match of it in ``found``; of those that overlap the likest."""
+        words = list(WORD.finditer(text))
+        lowered = [m[0].lower() for m in words]
+        pairs = list(zip(lowered, lowered[1:]))
+        for name, number, grams in self.templates:
+            hits = [at for at, pair in enumerate(pairs) if pair in grams]
+            need = max(1, int(np.ceil(len(grams) / self.ratio - 1e-9)))
+            longest = int(len(grams) * self.ratio + 1e-9)
+            runs = []
+            for a in range(len(hits) - need + 1):
+                first = hits[a]
+                if hits[a + need - 1] - first >= longest:  # too few hits within the size bound
+                    continue
+                dice, end = self._best_run(pairs, first, first + longest, grams)
+                if dice >= self.threshold:
+                    runs.append((-dice, words[first].start(), words[end + 1].end()))
+            taken = [(at, at + length) for _, other, at, length, _ in found if other == number]
+            for dice, start, end in sorted(runs):
+                if all(end <= low or start >= high for low, high in taken):
+                    taken.append((start, end))
+                    yield name, number, start, end - start, -dice
+
+    @staticmethod
+    def _best_run(pairs: list[tuple[str, str]], first: int, stop: int, grams: frozenset) -> tuple[float, int]:
+        """The best coefficient of a run of pairs from ``first`` on and its last pair."""
+        seen, shared, best = set(), 0, (0.0, first)
+        for at in range(first, min(stop, len(pairs))):
+            if pairs[at] not in seen:
+                seen.add(pairs[at])
+                shared += pairs[at] in grams
+            if pairs[at] in grams:
+                best = max(best, (2 * shared / (len(seen) + len(grams)), at), key=lambda b: b[0])
+        return best
+
 
 def scan(
     docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,

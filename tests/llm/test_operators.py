@@ -220,6 +220,13 @@ def test_licenses(spark, empty):
     assert Counter(tuple(r) for r in found.collect()) == Counter((i, *m) for i, t in rows for m in scanner.matches(t or ""))
     assert licenses.scan(empty).count() == 0
 
+    noise = "kara losen, miti the General terdown of this. " * 90
+    changed = notice.replace("Foundation", "Group")
+    line = f"{noise}{changed} {noise}Licensed under CC BY-NC 4.0. {noise}"
+    inside = {m[0]: line[m[2] : m[2] + m[3]] for m in scanner.matches(line)}
+    assert inside == {"GPL-3.0": changed.rstrip("."), "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0"}
+    assert scanner.matches(noise * 3) == []
+
 
 def test_id_shards(spark, docs, empty):
     tokenizer = Tokenizer.from_file(BYTE)
