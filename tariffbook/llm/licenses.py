@@ -70,6 +70,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         self.threshold, self.ratio = threshold, (2 - threshold) / threshold
         self.templates = [(name, number, bigrams(body)) for number, (name, body) in enumerate(templates)]
+        self.known = frozenset().union(*(grams for *_, grams in self.templates))
         most = max((len(grams) for *_, grams in self.templates), default=0)
         self.most = int(most * self.ratio + 1e-9)
         flat = pa.array(sorted({f"{a} {b}" for *_, grams in self.templates for a, b in grams}), pa.string())
@@ -122,8 +123,9 @@ class Scanner:
         words = list(WORD.finditer(text))
         lowered = [m[0].lower() for m in words]
         pairs = list(zip(lowered, lowered[1:]))
+        known = [(at, pair) for at, pair in enumerate(pairs) if pair in self.known]
         for name, number, grams in self.templates:
-            hits = [at for at, pair in enumerate(pairs) if pair in grams]
+            hits = [at for at, pair in known if pair in grams]
             need = max(1, int(np.ceil(len(grams) / self.ratio - 1e-9)))
             longest = int(len(grams) * self.ratio + 1e-9)
             runs = []
