@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tariffbook.functions.numbers import mean_2dp, sum_2dp
 
+# The names of the output columns below are fixed values.
+
 
 def subscriber_summary(enriched: DataFrame) -> DataFrame:
     """Per billing country and tier. Rows without a price form a group of tier null and revenue null."""
@@ -42,3 +44,8 @@ def top_months(revenue: DataFrame, n: int = 50) -> DataFrame:
     return revenue.orderBy(
         F.col("total_revenue").desc_nulls_last(), "subscription_month", "billing_country", "plan_tier"
     ).limit(n)
+
+
+def preview(report: DataFrame, n: int = 50) -> DataFrame:
+    """Report head in the order of its columns, which begin with its keys."""
+    return report.orderBy(*report.columns).limit(n)

@@ -255,6 +255,10 @@ def monthly_revenue(t: Tables) -> DataFrame:
     return marts.monthly_revenue(text.trim_strings(t.enriched))
 
 
+def monthly_revenue_preview(t: Tables) -> DataFrame:
+    return marts.preview(monthly_revenue(t))
+
+
 def monthly_revenue_top_n(t: Tables) -> DataFrame:
     return marts.top_months(monthly_revenue(t))
 
@@ -347,6 +351,7 @@ QUERIES: list[Callable[[Tables], DataFrame]] = [
     subscriber_summary,
     monthly_revenue,
     monthly_revenue_top_n,
+    monthly_revenue_preview,
     stage_row_counts,
     content_hash_dedup,
     input_manifest_missing,

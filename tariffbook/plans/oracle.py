@@ -269,6 +269,9 @@ _QUERIES = {
     "monthly_revenue_top_n": """
         SELECT * FROM revenue ORDER BY total_revenue DESC NULLS LAST, subscription_month NULLS FIRST,
             billing_country NULLS FIRST, plan_tier NULLS FIRST LIMIT 50""",
+    "monthly_revenue_preview": """
+        SELECT * FROM revenue ORDER BY subscription_month NULLS FIRST, billing_country NULLS FIRST,
+            plan_tier NULLS FIRST LIMIT 50""",
     "stage_row_counts": "\n UNION ALL ".join(
         f"""SELECT '{table}' AS "table", count(*) AS "rows" FROM {view}"""
         for table, view in {
