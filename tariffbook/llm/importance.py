@@ -6,8 +6,13 @@ of the target text, counted over labelled good documents. A document's
 importance is the ratio of its probabilities under the two; ``k`` documents are
 sampled without replacement in proportion to it by Gumbel top-k: to the log of
 the ratio a Gumbel number is added, made from the id, and the ``k`` largest stay.
-``k`` is the number of documents whose log ratio reaches the level that all but
-``LOSS`` of held-out good documents reach, so the share kept follows the data.
+A long text outweighs a few bad words, so its worst passage counts too: the
+least sum over its runs of ``PASSAGE`` words of log ratios of words alone, in
+``WORDS`` buckets, where a word counts once a document. Each of the two numbers
+has its level, which all but ``LOSS`` of the held-out good documents reach, or
+all but ``PASSAGE_LOSS`` of their distinct worst passages, so that copies count
+once; sampled is by the lower of both above their level, and ``k`` is the number
+of documents that reach both, so the share kept follows the data.
 
 The target model and the level come from at most ``LABELLED`` labelled rows
 each, a uniform choice by a hash of the id; all else covers all documents.
@@ -31,15 +36,32 @@ from tariffbook.llm import wordhash
 from tariffbook.llm.common import kth_largest, staged, text_or_empty
 
 BUCKETS, LABELLED, LOSS, PRIOR = 1 << 14, 20_000, 0.005, 5.0
+WORDS, PASSAGE, WORD_PRIOR, PASSAGE_LOSS = 1 << 18, 16, 2.0, 0.01
 SLICE = 1 << 12  # documents worked on at a time
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all words and word pairs of the texts, and the number of their text."""
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
+
+
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all words and word pairs of the texts, the number of their text; the same of the words alone."""
     hashes, text = wordhash.words(texts)[:2]
     two, text_two = wordhash.pairs(hashes, text)
-    both = np.concatenate([hashes, two]) >> np.uint64(64 - BUCKETS.bit_length() + 1)
-    return both.astype(np.int64), np.concatenate([text, text_two])
+    both = bucket_of(np.concatenate([hashes, two]), BUCKETS)
+    return both, np.concatenate([text, text_two]), bucket_of(hashes, WORDS), text
+
+
+def worst_passages(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """The least sum of a run of ``PASSAGE`` words of each of ``n`` texts; 0 without words."""
+    worst = np.zeros(n)
+    if len(text):
+        first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+        place = np.arange(len(text)) - np.repeat(first, np.diff(np.append(first, len(text))))
+        start = np.flatnonzero(place % PASSAGE == 0)
+        worst[text[first]] = np.inf
+        np.minimum.at(worst, text[start], np.add.reduceat(values, start))
+    return worst
 
 
 def labelled_ids(labels: DataFrame, docs: DataFrame) -> tuple[list[int], list[int]]:
@@ -51,61 +73,76 @@ def labelled_ids(labels: DataFrame, docs: DataFrame) -> tuple[list[int], list[in
     return ids[::2], ids[1::2]
 
 
-def log_ratios(rows: DataFrame, fit: list[int]) -> np.ndarray:
-    """Log of target over raw probability of each bucket, drawn towards 0 where little was counted."""
+def log_ratios(rows: DataFrame, fit: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Log of target over raw probability of each bucket of n-grams and of words, drawn towards 0 where little was counted."""
     wanted = rows.sparkSession.sparkContext.broadcast(np.array(sorted(fit), np.int64))
+    size = BUCKETS + WORDS  # words have the numbers after the n-grams
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                bucket, text = features(part.column(1))
-                raw += np.bincount(bucket, minlength=BUCKETS)
+                bucket, text, word, text_word = features(part.column(1))
+                once = np.unique(text_word * WORDS + word)
+                bucket, text = np.concatenate([bucket, once % WORDS + BUCKETS]), np.concatenate([text, once // WORDS])
+                raw += np.bincount(bucket, minlength=size)
                 ids = part.column(0)
                 chosen = np.isin(ids.fill_null(0).to_numpy(), wanted.value) & ids.is_valid().to_numpy(zero_copy_only=False)
-                target += np.bincount(bucket[chosen[text]], minlength=BUCKETS)
+                target += np.bincount(bucket[chosen[text]], minlength=size)
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"bucket": used, "raw": raw[used], "target": target[used]})
 
     counted = rows.mapInArrow(count, "bucket bigint, raw bigint, target bigint")
-    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in sums:  # at most one row per bucket
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    expected = raw * (target.sum() / max(raw.sum(), 1))
-    return np.log((target + PRIOR) / (expected + PRIOR))
+    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
+    raw, target = np.zeros(size), np.zeros(size)
+    at = sums["bucket"].to_numpy()  # at most one row per bucket
+    raw[at], target[at] = sums["raw"].to_numpy(), sums["target"].to_numpy()
+
+    def ratios(raw: np.ndarray, target: np.ndarray, prior: float) -> np.ndarray:
+        expected = raw * (target.sum() / max(raw.sum(), 1))
+        return np.log((target + prior) / (expected + prior))
+
+    return ratios(raw[:BUCKETS], target[:BUCKETS], PRIOR), ratios(raw[BUCKETS:], target[BUCKETS:], WORD_PRIOR)
 
 
-def score(rows: DataFrame, ratios: np.ndarray) -> DataFrame:
-    table = rows.sparkSession.sparkContext.broadcast(ratios)
+def score(rows: DataFrame, ratios: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    tables = rows.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, alone = tables.value
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                bucket, text = features(part.column(1))
-                sums = np.bincount(text, weights=table.value[bucket], minlength=len(part))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums)], ["doc_id", "log_ratio"])
+                bucket, text, word, text_word = features(part.column(1))
+                sums = np.bincount(text, weights=both[bucket], minlength=len(part))
+                worst = worst_passages(alone[word], text_word, len(part))
+                columns = [part.column(0), pa.array(sums), pa.array(worst)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_ratio", "worst"])
 
-    return rows.mapInArrow(run, "doc_id bigint, log_ratio double")
+    return rows.mapInArrow(run, "doc_id bigint, log_ratio double, worst double")
 
 
 def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, log_ratio, sample_key, keep`` of every row."""
+    """``doc_id, log_ratio, worst, sample_key, keep`` of every row."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     fit, held_out = labelled_ids(labels, rows)
-    ratios = log_ratios(rows, fit) if fit else np.zeros(BUCKETS)
+    ratios = log_ratios(rows, fit) if fit else (np.zeros(BUCKETS), np.zeros(WORDS))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / F.lit(float(1 << 53))
-    scored = score(rows, ratios).withColumn("sample_key", F.col("log_ratio") - F.log(-F.log(uniform)))
-    scored = staged(scored, "importance")
+    scored = staged(score(rows, ratios), "importance")
+    level, lowest = 0.0, 0.0
+    if held_out:
+        spark = docs.sparkSession
+        held = spark.createDataFrame([(i,) for i in held_out], "doc_id bigint")
+        rows = scored.join(F.broadcast(held), "doc_id").select("log_ratio", "worst").limit(LABELLED).collect()
+        whole, worst = np.array(rows).T
+        level = float(np.quantile(whole, LOSS, method="lower"))
+        lowest = float(np.quantile(np.unique(worst), PASSAGE_LOSS, method="lower"))
+    above = F.least(F.col("log_ratio") - F.lit(level), F.col("worst") - F.lit(lowest))
+    scored = scored.withColumn("sample_key", above - F.log(-F.log(uniform)))
     if not held_out:
         return scored.withColumn("keep", F.lit(True))
-    spark = docs.sparkSession
-    held = spark.createDataFrame([(i,) for i in held_out], "doc_id bigint")
-    reached = [r[0] for r in scored.join(F.broadcast(held), "doc_id").select("log_ratio").limit(LABELLED).collect()]
-    level = float(np.quantile(reached, LOSS, method="lower"))
-    k = scored.where(F.col("log_ratio") >= level).count()
+    k = scored.where(above >= 0).count()
     cut = kth_largest(scored, "sample_key", k)
     return scored.withColumn("keep", F.col("sample_key") >= F.lit(cut))
 

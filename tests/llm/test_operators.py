@@ -7,6 +7,7 @@ from collections import Counter
 import compare
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tariffbook.llm import (
     simhash,
     token_counts,
     url_filters,
+    wordhash,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -85,6 +87,21 @@ def test_importance(spark, docs, empty):
     assert importance.resample(empty, labels).count() == 0
 
 
+def test_importance_of_the_worst_passage(spark):
+    """A few bad words amid many good ones go, though the whole text is as likely as any other."""
+    rng, bad = np.random.default_rng(5), range(300, 400)
+    plain = [" ".join(f"w{w}" for w in rng.integers(0, 300, 400)) for _ in range(400)]
+    rows = [(i, f"{t} you foul vile swine {plain[i - 300]} foul swine vile" if i in bad else t) for i, t in enumerate(plain)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    judged = importance.resample(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
+    kept = {r["doc_id"] for r in judged if r["keep"]}
+    assert len(kept - set(bad)) >= 290
+    assert len(kept & set(bad)) <= 5
+    texts = pa.array(["", "a " * 20 + "b", "b", ""])
+    values = np.concatenate([np.ones(20), [-3.0], [2.0]])
+    assert importance.worst_passages(values, wordhash.words(texts)[1], 4).tolist() == [0.0, 1.0, 2.0, 0.0]
+
+
 def test_packing(docs, empty):
     tokenizer = Tokenizer.from_file(WORD)
     expected = Counter(
