@@ -7,18 +7,19 @@ and writes, in ascending order of id, three Parquet tables under one folder:
   unsigned 16 or 32-bit by the size of the vocabulary, some ``BLOCK`` ids each;
 - ``shards``: how many ids lie before each shard;
 - ``index``: per bucket of keys a minimal perfect hash function (hash and
-  displace), and for each of its slots a fingerprint of the key and the address
-  (shard, block, offset, length) of the ids. A lookup is two hashes, one
-  displacement, one slot and a comparison of the fingerprint.
+  displace), and for each of its slots a fingerprint of the key and its run:
+  the address (shard, block, offset, length) of the ids of its first row, and
+  how many rows it has from there on. A lookup is two hashes, one displacement,
+  one slot and a comparison of the fingerprint.
 
-``lookup`` finds the addresses of many keys; ``slices`` reads the payloads.
+``lookup`` finds the runs of many keys; ``slices`` reads the payloads.
 
 Text is encoded before the one shuffle that sorts it, so ids move, at two bytes
 each. Ranges come from quantiles of the id column alone.
 
 Defined cases: a null or empty text holds the end id alone; repeated rows of an
-id are all written, side by side, and the key finds the first of them; rows
-with a null id are written first and have no key; an unknown key has no
+id are all written, side by side, and the key finds the run of them; rows
+with a null id are written first, have no key and are read by ``slices`` alone; an unknown key has no
 address (but for a 32-bit fingerprint that is equal by chance); an empty table
 gives empty files and results; other columns of the input are not read.
 """
@@ -43,8 +44,9 @@ BLOCKS_SCHEMA = (
     "shard bigint, block bigint, start bigint, n_ids bigint, payload binary, "
     "keys array<bigint>, offsets array<bigint>, lengths array<bigint>"
 )
-INDEX_SCHEMA = "bucket bigint, n bigint, displace binary, prints binary, shard binary, block binary, offset binary, length binary"
+INDEX_SCHEMA = "bucket bigint, n bigint, displace binary, prints binary, shard binary, block binary, offset binary, length binary, rows binary"
 ADDRESS = ["shard", "block", "offset", "length"]
+RUN = [*ADDRESS, "rows"]
 
 
 def mix(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -153,14 +155,13 @@ BLOCKS_ARROW = pa.schema(
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Turns rows (bucket, key, address) sorted by bucket and key into one index row per bucket."""
+    """Turns rows (bucket, key, run), one a key, sorted by bucket into one index row per bucket."""
 
     def row(part: pd.DataFrame) -> pa.RecordBatch:
-        part = part.drop_duplicates("key")  # sorted, so the first address stays
         keys = part["key"].to_numpy()
         displace, slots = build_hash(keys)
         at = np.argsort(slots)
-        columns = {name: [part[name].to_numpy(np.int64)[at].tobytes()] for name in ADDRESS}
+        columns = {name: [part[name].to_numpy(np.int64)[at].tobytes()] for name in RUN}
         columns |= {"displace": [displace.tobytes()], "prints": [prints(keys)[at].tobytes()]}
         columns |= {"bucket": [int(part["bucket"].iloc[0])], "n": [len(keys)]}
         return pa.RecordBatch.from_pydict({name.split()[0]: columns[name.split()[0]] for name in INDEX_SCHEMA.split(", ")})
@@ -215,9 +216,11 @@ def write(
         blocks.select("shard", "block", F.explode(F.arrays_zip("keys", "offsets", "lengths")).alias("e"))
         .select("shard", "block", F.col("e.keys").alias("key"), F.col("e.offsets").alias("offset"), F.col("e.lengths").alias("length"))
         .where("key IS NOT NULL")
-        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+        .groupBy("key")
+        .agg(F.min(F.struct(*ADDRESS)).alias("first"), F.count("*").alias("rows"))
+        .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "first.*", "rows")
         .repartition(count, "bucket")
-        .sortWithinPartitions("bucket", "key", "shard", "block", "offset")
+        .sortWithinPartitions("bucket", "key")
         .mapInArrow(_index, INDEX_SCHEMA)
         .withColumn("buckets", F.lit(buckets))
         .write.parquet(f"{folder}/index")
@@ -225,7 +228,10 @@ def write(
 
 
 def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
-    """``key, shard, block, offset, length`` of the distinct non-null values of the first column of ``keys``; nulls if unknown."""
+    """``key, shard, block, offset, length, rows`` of the distinct non-null values of the first column of ``keys``; nulls if unknown.
+
+    The address is that of the key's first row; ``rows`` counts those that follow it, itself included.
+    """
     index = spark.read.schema(INDEX_SCHEMA + ", buckets int").parquet(f"{folder}/index")
     buckets = index.select("buckets").head()
     name = keys.columns[0]
@@ -233,13 +239,13 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     asked = asked.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets[0] if buckets else 1)))
 
     def find(asked: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"key": asked["key"]}).reindex(columns=["key", *ADDRESS])
-        out[ADDRESS] = out[ADDRESS].astype("Int64")
+        out = pd.DataFrame({"key": asked["key"]}).reindex(columns=["key", *RUN])
+        out[RUN] = out[RUN].astype("Int64")
         if len(index) and len(asked):
             row, values = index.iloc[0], asked["key"].to_numpy(np.int64)
             slots = find_slots(values, np.frombuffer(row["displace"], np.int64), int(row["n"]))
             known = np.frombuffer(row["prints"], np.uint32)[slots] == prints(values)
-            for column in ADDRESS:
+            for column in RUN:
                 address = np.frombuffer(row[column], np.int64)[slots]
                 out[column] = pd.array(np.where(known, address, 0), "Int64")
                 out.loc[~known, column] = pd.NA
@@ -247,16 +253,16 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
 
     return (
         asked.groupBy("bucket").cogroup(index.groupBy("bucket"))
-        .applyInPandas(find, "key bigint, shard bigint, block bigint, offset bigint, length bigint")
+        .applyInPandas(find, "key bigint, shard bigint, block bigint, offset bigint, length bigint, rows bigint")
     )
 
 
 def slices(spark: SparkSession, folder: str) -> DataFrame:
-    """Each document's ids as the files hold them: ``shard, block, offset, length, start, ids``.
+    """Each row's ids as the files hold them: ``doc_id, shard, block, offset, length, start, ids``.
 
     ``ids`` are little-endian unsigned 32-bit integers, ``start`` counts the ids of all documents before.
     """
-    blocks = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{folder}/blocks").drop("keys")
+    blocks = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{folder}/blocks")
     shards = spark.read.schema("shard bigint, base bigint, width int").parquet(f"{folder}/shards")
     by_shard = {r["shard"]: (r["base"], r["width"]) for r in shards.collect()}  # one row per shard
 
@@ -267,12 +273,12 @@ def slices(spark: SparkSession, folder: str) -> DataFrame:
             payload = np.frombuffer(row["payload"], f"<u{width}").astype("<u4")
             n = len(row["offsets"])
             yield pa.RecordBatch.from_pydict({
-                "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
+                "doc_id": pa.array(row["keys"], pa.int64()), "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
                 "length": row["lengths"], "start": [base + row["start"] + o for o in row["offsets"]],
                 "ids": [payload[o : o + m].tobytes() for o, m in zip(row["offsets"], row["lengths"])],
             })
 
-    schema = "shard bigint, block bigint, offset bigint, length bigint, start bigint, ids binary"
+    schema = "doc_id bigint, shard bigint, block bigint, offset bigint, length bigint, start bigint, ids binary"
     return blocks.mapInArrow(cut, schema)
 
 
@@ -289,15 +295,22 @@ def get(spark: SparkSession, folder: str, key: int) -> list[int] | None:
     return payload[found["offset"] : found["offset"] + found["length"]].tolist()
 
 
+def read_back(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every row of the runs of ``keys``, and of every row without a key."""
+    runs = lookup(spark, folder, keys).where("shard IS NOT NULL")
+    runs = runs.select("key", F.col("shard").alias("at"), F.struct("block", "offset").alias("first"))
+    read = slices(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    here = (F.col("doc_id") == F.col("key")) & (F.col("shard") == F.col("at")) & (F.struct("block", "offset") >= F.col("first"))
+    return read.join(runs, here, "left").where("doc_id IS NULL OR key IS NOT NULL").select(
+        "doc_id", "start", F.col("length").alias("n_tokens"), "ids_crc32"
+    )
+
+
 def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's ids, written and read back: addresses from the index, ids from the payloads."""
+    """Every row's ids, written and read back: runs from the index, ids from the payloads."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = new_path(spark, "id-shards")
     write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
-    found = lookup(spark, folder, docs.select("doc_id"))
-    read = slices(spark, folder).select("shard", "block", "offset", "length", "start", F.crc32("ids").alias("ids_crc32"))
-    return found.join(read, ADDRESS).select(
-        F.col("key").alias("doc_id"), "start", F.col("length").alias("n_tokens"), "ids_crc32"
-    )
+    return read_back(spark, folder, docs.select("doc_id"))

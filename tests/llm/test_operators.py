@@ -266,6 +266,23 @@ def test_id_shards(spark, docs, empty):
     assert id_shards.lookup(spark, none, docs.select("doc_id")).where("shard IS NOT NULL").count() == 0
 
 
+def test_id_shards_return_every_row(spark, docs, tmp_path):
+    """Repeated ids, with equal and with other texts, and null ids."""
+    more = [(9, "another text"), (9, None), (None, "no id"), (None, "no id"), *[(12, "hot")] * 300]
+    rows = docs.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id long, text string"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, expected, at = Tokenizer.from_file(BYTE), Counter(), 0
+    coded = [(i, np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")) for i, t in pairs(rows)]
+    for i, ids in sorted(coded, key=lambda r: (r[0] is not None, r[0], r[1].astype("<u2").tobytes())):
+        expected[i, at, len(ids), zlib.crc32(ids.tobytes())] += 1
+        at += len(ids)
+    assert Counter(tuple(r) for r in id_shards.op9_id_shards(spark, str(tmp_path)).collect()) == expected
+    folder = common.new_path(spark, "test-shards")
+    id_shards.write(rows, folder, BYTE)
+    found = {r["key"]: r["rows"] for r in id_shards.lookup(spark, folder, rows.select("doc_id")).collect()}
+    assert found == {k: n for k, n in Counter(i for i, _ in coded).items() if k is not None}
+
+
 def test_perfect_hash():
     for n in (1, 2, 3, 50, 3000):
         keys = np.random.default_rng(n).integers(-(10**15), 10**15, n)
