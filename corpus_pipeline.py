@@ -1,10 +1,10 @@
 """The corpus pipeline: stages over the documents table, each a call of one operator.
 
-Stages take out documents by id. Rows that share an id are one document to
-them: all go if one is rejected. A row without an id is never taken out. Each
-of the first three returns the columns of ``docs`` as they are, whatever they
-are called; the last returns pieces of packed windows. An empty table stays
-empty.
+Stages take out rows, each by a key of its own that is written with the rows at
+the start of a stage, so that all reads and retries agree on it. An id may
+repeat or be null. Each of the first three returns the columns of ``docs`` as
+they are, whatever they are called; the last returns pieces of packed windows.
+An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -14,29 +14,48 @@ from pyspark.sql import functions as F
 
 from tariffbook.llm import decontaminate, importance, packing, simhash
 from tariffbook.llm.common import staged
+from tariffbook.operators.skew import lookup_join
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose id is in ``rejected``."""
-    gone = rejected.select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, written once, and the name of its column."""
+    row = "_row"
+    while row.lower() in (c.lower() for c in docs.columns):
+        row += "_"
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def _without(keyed: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose key is in the one column of ``gone``, and without the key."""
+    gone = gone.toDF("_gone")
+    return keyed.join(gone, keyed[row] == gone["_gone"], "left_anti").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps."""
-    judged = importance.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, judged.where("NOT keep"))
+    keyed, row = _keyed(docs)
+    judged = importance.resample(keyed, spark.read.parquet(f"{sf_dir}/labels.parquet"), row=row)
+    return _without(keyed, row, judged.where("NOT keep").select("row"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one that names it."""
-    return _without(docs, simhash.near_duplicates(docs).where("doc_id <> component_id"))
+    """One row of each group of near-duplicates: that of the least id, without one last, and of the least key."""
+    keyed, row = _keyed(docs)
+    grouped = staged(simhash.near_duplicates(keyed, doc_id=row).select(F.col("doc_id").alias("_key"), "component_id"), "groups")
+    # A group is named by its least key, so most rows, alone in theirs, need no second look.
+    shared = grouped.where("_key <> component_id").select("component_id").distinct()
+    members = lookup_join(grouped, shared, "component_id")
+    ids = keyed.select(F.col(row).alias("_key"), F.col("doc_id").cast("bigint").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_key"))["_key"].alias("_first")
+    kept = members.join(ids, "_key").groupBy("component_id").agg(first).select("_first")
+    return _without(keyed, row, members.join(kept, F.col("_key") == F.col("_first"), "left_anti").select("_key"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found)
+    keyed, row = _keyed(docs)
+    found = decontaminate.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=row)
+    return _without(keyed, row, found.select("doc_id"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

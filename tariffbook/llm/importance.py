@@ -117,19 +117,25 @@ def score(rows: DataFrame, ratios: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 bucket, text, word, text_word = features(part.column(1))
                 sums = np.bincount(text, weights=both[bucket], minlength=len(part))
                 worst = worst_passages(alone[word], text_word, len(part))
-                columns = [part.column(0), pa.array(sums), pa.array(worst)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_ratio", "worst"])
+                columns = [part.column(0), *part.columns[2:], pa.array(sums), pa.array(worst)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, "doc_id bigint, log_ratio double, worst double")
+    names = [c for c in rows.columns if c != "text"] + ["log_ratio", "worst"]
+    kinds = [f"{c} bigint" for c in names[:-2]] + ["log_ratio double", "worst double"]
+    return rows.mapInArrow(run, ", ".join(kinds))
 
 
-def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, log_ratio, worst, sample_key, keep`` of every row."""
+def resample(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None
+) -> DataFrame:
+    """``doc_id, log_ratio, worst, sample_key, keep`` of every row, and as ``row`` the key of rows in the column named so."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     fit, held_out = labelled_ids(labels, rows)
     ratios = log_ratios(rows, fit) if fit else (np.zeros(BUCKETS), np.zeros(WORDS))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / F.lit(float(1 << 53))
-    scored = staged(score(rows, ratios), "importance")
+    carried = [F.col(row).cast("bigint").alias("row")] if row else []
+    scored = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"), *carried)
+    scored = staged(score(scored, ratios), "importance")
     level, lowest = 0.0, 0.0
     if held_out:
         spark = docs.sparkSession

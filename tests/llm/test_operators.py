@@ -317,3 +317,19 @@ def test_pipeline(spark, docs, empty):
     assert ids[None] == 1
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
     assert {r["doc_id"] for r in packed.collect()} == set(ids)
+
+
+def test_pipeline_rejects_rows(spark, texts, monkeypatch, tmp_path):
+    """An id delivered many times, with other texts too, and rows without an id."""
+    item = " ".join(texts[11].split()[4000:4040])
+    rows = [*[(1, texts[8])] * 5, (1, texts[12]), (None, texts[8]), *[(None, texts[13])] * 2, (None, f"{texts[14]} {item}"), (2, texts[14])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert Counter(tuple(r) for r in clean.collect()) == Counter(r for r in rows if item not in r[1])
+    once = corpus_pipeline.near_duplicates(spark, clean, str(tmp_path))
+    assert Counter(tuple(r) for r in once.collect()) == Counter([(1, texts[8]), (1, texts[12]), (None, texts[13]), (2, texts[14])])
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    judged = lambda docs, *_, row: docs.select(F.col(row).alias("row"), F.col("text").startswith(texts[12][:40]).alias("keep"))
+    monkeypatch.setattr(importance, "resample", judged)
+    assert [tuple(r) for r in corpus_pipeline.quality(spark, docs, str(tmp_path)).collect()] == [(1, texts[12])]
