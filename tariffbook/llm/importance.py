@@ -37,7 +37,7 @@ from tariffbook.llm.common import kth_largest, staged, text_or_empty
 
 BUCKETS, LABELLED, LOSS, PRIOR = 1 << 14, 20_000, 0.005, 5.0
 WORDS, PASSAGE, WORD_PRIOR, PASSAGE_LOSS = 1 << 18, 16, 2.0, 0.01
-SLICE = 1 << 12  # documents worked on at a time
+SLICE = 1 << 9  # documents worked on at a time
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
