@@ -10,6 +10,7 @@ from tariffbook.llm import (
     chat,
     decontaminate,
     digests,
+    fill_in_middle,
     id_shards,
     importance,
     licenses,
@@ -30,5 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_id_shards": id_shards.op9_id_shards,
     "op10_document_digests": digests.op10_document_digests,
+    "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+}
+SQL: dict[str, str] = {
+    "op1_url_filters": url_filters.OP1_SQL,
+    "op12_fill_in_middle": fill_in_middle.OP12_SQL,
 }
-SQL: dict[str, str] = {"op1_url_filters": url_filters.OP1_SQL}
