@@ -15,6 +15,7 @@ from tariffbook.llm import (
     importance,
     licenses,
     packing,
+    periodic_runs,
     simhash,
     token_counts,
     url_filters,
@@ -32,8 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_id_shards": id_shards.op9_id_shards,
     "op10_document_digests": digests.op10_document_digests,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_url_filters": url_filters.OP1_SQL,
     "op12_fill_in_middle": fill_in_middle.OP12_SQL,
+    "op13_periodic_runs": periodic_runs.OP13_SQL,
 }
