@@ -14,6 +14,7 @@ from tariffbook.llm import (
     id_shards,
     importance,
     licenses,
+    minhash,
     packing,
     periodic_runs,
     simhash,
@@ -32,11 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_id_shards": id_shards.op9_id_shards,
     "op10_document_digests": digests.op10_document_digests,
+    "op11_minhash_dedup": minhash.op11_minhash_dedup,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_url_filters": url_filters.OP1_SQL,
+    "op11_minhash_dedup": minhash.OP11_SQL,
     "op12_fill_in_middle": fill_in_middle.OP12_SQL,
     "op13_periodic_runs": periodic_runs.OP13_SQL,
 }

@@ -1,7 +1,7 @@
 """Hashes of the words of many texts at once, from Arrow's buffers.
 
 A word is a run of letters, digits and bytes beyond ASCII, or a run of ASCII
-marks; white space parts words. A-Z count as a-z. The hash of a word is the
+marks; white space parts words (by ``SPACED``, it alone). A-Z count as a-z. The hash of a word is the
 mix of a polynomial of its bytes modulo 2**64, read off running sums.
 """
 
@@ -18,6 +18,7 @@ _KIND = np.full(256, 2, np.uint8)
 _KIND[[9, 10, 11, 12, 13, 32]] = 0
 for _span in (range(48, 58), range(65, 91), range(97, 123), range(128, 256)):
     _KIND[_span] = 1
+SPACED = np.minimum(_KIND, 1)
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 
@@ -51,17 +52,20 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word of the texts: its hash, the number of its text, its start in the bytes of all texts."""
+def words(texts: pa.Array, kinds: np.ndarray = _KIND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word of the texts: its hash, the number of its text, its start in the bytes of all texts.
+
+    ``kinds`` has the kind of each byte, 0 for white space.
+    """
     data, at = buffers(texts)
     hashes, starts, pos = [], [], 0
     while pos < len(data):
         end = pos + CHUNK
-        while end < len(data) and _KIND[data[end]]:  # a word is never cut
-            more = np.flatnonzero(_KIND[data[end : end + 4096]] == 0)
+        while end < len(data) and kinds[data[end]]:  # a word is never cut
+            more = np.flatnonzero(kinds[data[end : end + 4096]] == 0)
             end += int(more[0]) if len(more) else 4096
         d = data[pos:end]
-        kind = _KIND[d]
+        kind = kinds[d]
         new = np.empty(len(d), bool)
         new[0] = True
         np.not_equal(kind[1:], kind[:-1], out=new[1:])
