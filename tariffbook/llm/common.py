@@ -87,5 +87,26 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 1024, few: int =
     return low
 
 
+FILTER_BITS = 1 << 25  # of a filter of keys: 4 MB, however many keys there are
+
+
+def likely(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in the first column of ``keys``, and with all others.
+
+    A bitmap of hashes, of fixed size, is broadcast, so ``rows`` are not shuffled.
+    Chance lets some more rows through, and all where there are very many keys.
+    """
+    names, one = rows.columns, keys.columns[0]
+    number = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    bits = keys.groupBy(F.bitmap_bucket_number(number(one)).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number(one))).alias("_bits")
+    )
+    numbered = rows.withColumn("_number", number(key))
+    numbered = numbered.withColumn("_at", F.bitmap_bucket_number("_number")).withColumn("_bit", F.bitmap_bit_position("_number"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 AS int) + 1, 1)")), 16, 10).cast("bigint")
+    found = numbered.join(F.broadcast(bits), F.col("_at") == F.col("_bucket"))
+    return found.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*(f"`{n}`" for n in names))
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -9,14 +9,15 @@ empty bin takes the value of the bin that its own sequence of probes meets first
    are kept, with their buckets.
 2. A bucket is a star: its members are paired with its centre, the one of the
    least id, so a bucket of n members gives n - 1 pairs.
-3. Pairs are confirmed on the whole sets, links make components.
+3. Pairs are told apart by sketches (a byte for each of 512 bins): sets that are
+   alike enough differ in a bounded number of bins, as each shingle that only one
+   of them has changes one bin at most; pairs beyond the bound go, and for large
+   sets those beyond ``UNLIKE`` bins, eight standard deviations above what is to
+   be expected. The others are confirmed on the whole sets; links make components.
 4. A bucket whose members are all in one component is done. In the others the
-   members that are not the centre are set side by side by sketches (a byte for
-   each of 512 bins). Sets that are alike enough differ in a bounded number of
-   bins, as each shingle that only one of them has changes one bin at most; pairs
-   beyond the bound go, and for large sets those beyond ``UNLIKE`` bins, eight
-   standard deviations above what is to be expected. First the pairs of a
-   spanning forest are confirmed, then all that still part components.
+   members that are not the centre are set side by side by their sketches. First
+   the pairs of a spanning forest are confirmed, then all that still part
+   components.
 
 So no link between texts that share a bucket is lost, and two texts at the
 least likeness share none with a probability of 6e-11. Buckets are joined, not
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffbook.llm import wordhash
-from tariffbook.llm.common import staged, text_or_empty
+from tariffbook.llm.common import likely, staged, text_or_empty
 from tariffbook.llm.components import components
 from tariffbook.operators.skew import lookup_join
 
@@ -149,7 +150,7 @@ def prints(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text
 
 
 def full_sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """``node, shingles, sketch`` of rows ``doc_id, text``, one for each node."""
+    """``node, shingles, sketch`` of rows ``doc_id, text`` that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -161,8 +162,7 @@ def full_sets(rows: DataFrame, shingle: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles", "sketch"])
 
-    made = rows.select("doc_id", "text").mapInArrow(run, "node binary, shingles array<bigint>, sketch binary")
-    return made.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"))
+    return rows.select("doc_id", "text").mapInArrow(run, "node binary, shingles array<bigint>, sketch binary")
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:
@@ -171,24 +171,42 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     ``first`` is the least id of a node; the centre is the node of the least one.
     """
     postings = classes.select(F.explode("bands").alias("key"), "node", "first", "n")
-    counts = postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared = staged(lookup_join(postings, counts, "key"), "buckets")
+    counts = staged(postings.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "counts")
+    shared = staged(lookup_join(likely(postings, "key", counts), counts, "key"), "buckets")
     least = F.min(F.struct(F.col("first").isNull().alias("nameless"), "first", "node", "n")).alias("least")
     centres = shared.groupBy("key").agg(least).select("key", F.col("least.node").alias("centre"), F.col("least.n").alias("centre_n"))
     return staged(lookup_join(shared, centres, "key"), "stars")
 
 
-def _alike(both: Column, n: Column, m: Column, percent: int) -> Column:
-    return 100 * both >= percent * (n + m - both)
+def _within(sizes: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of so many shingles together, whose sketches differ in so many bins, may be alike enough."""
+    return differ <= np.minimum(sizes * (100 - percent) // (100 + percent), UNLIKE)
+
+
+def by_sketch(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b, sizes`` that may be alike enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, FINE) for k in (3, 4))
+            good = _within(batch.column(2).to_numpy(), (one != two).sum(axis=1), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    for side in ("b", "a"):
+        pairs = lookup_join(pairs, sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"of_{side}")), side)
+    return pairs.select("a", "b", "sizes", "of_a", "of_b").mapInArrow(run, "a binary, b binary")
 
 
 def confirmed(pairs: DataFrame, made: DataFrame, percent: int) -> DataFrame:
     """``a, b``: the pairs that are alike enough by their full sets. Each side is a join that can be split."""
-    mine = made.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    theirs = made.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    both = lookup_join(lookup_join(pairs, mine, "b"), theirs, "a")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(_alike(shared, F.size("of_a"), F.size("of_b"), percent)).select("a", "b")
+    asked = pairs.select("a").unionAll(pairs.select("b")).distinct()
+    kept = likely(made.select("node", "shingles"), "node", asked)
+    whole = staged(kept.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    mine = whole.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    theirs = whole.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    found = lookup_join(lookup_join(pairs, mine, "b"), theirs, "a")
+    both, sizes = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
+    return found.where(100 * both >= percent * (sizes - both)).select("a", "b")
 
 
 def _compare(percent: int, forest: bool):
@@ -224,8 +242,7 @@ def _compare(percent: int, forest: bool):
             for begin in range(0, len(some), 4096):
                 one = some[begin : begin + 4096]
                 differ = (bins[one] != bins[one + step]).sum(axis=1)
-                most = (size[one] + size[one + step]) * (100 - percent) // (100 + percent)
-                good = differ <= np.minimum(most, UNLIKE)
+                good = _within(size[one] + size[one + step], differ, percent)
                 found.append((one[good], one[good] + step, differ[good]))
             step += 1
         a, b, differ = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
@@ -249,13 +266,13 @@ def _compare(percent: int, forest: bool):
     return run
 
 
-def parted_pairs(stars: DataFrame, roots: DataFrame, made: DataFrame, percent: int, forest: bool) -> DataFrame:
+def parted_pairs(stars: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
     """``a, b``: pairs of one bucket, neither its centre, that lie in different components and may be alike."""
     others = stars.where("members > 2")
     rooted = lookup_join(others, roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parted = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("two")).where("one <> two")
     rows = lookup_join(rooted.where("node <> centre"), parted.select("key"), "key")
-    rows = lookup_join(rows.select("key", "node", "n", "root", "members"), made.select("node", "sketch"), "node")
+    rows = lookup_join(rows.select("key", "node", "n", "root", "members"), sketches, "node")
     parts = F.ceil(F.col("members") / PART)
     dealt = (
         rows.withColumn("parts", parts)
@@ -285,15 +302,18 @@ def near_duplicates(
     # Texts of shared buckets only; a repeated id may bring others along, which no pair asks for.
     asked = stars.select(F.coalesce("first", F.lit(-1)).alias("asked")).distinct()
     texts = _texts(docs, doc_id, text).withColumn("asked", F.coalesce("doc_id", F.lit(-1)))
-    made = staged(full_sets(lookup_join(texts, asked, "asked", "left_semi"), shingle), "sets")
+    # Ids asked for are distinct; a semi join would be moved in front of the filter and shuffle all texts.
+    made = staged(full_sets(lookup_join(likely(texts, "asked", asked), asked, "asked"), shingle), "made")
+    sketches = staged(made.groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
 
-    least, most = F.least("n", "centre_n"), F.greatest("n", "centre_n")
+    least, most, sizes = F.least("n", "centre_n"), F.greatest("n", "centre_n"), F.col("n") + F.col("centre_n")
     pairs = stars.where((F.col("node") != F.col("centre")) & (100 * least >= percent * most))
-    pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b"), sizes.alias("sizes")).distinct()
+    pairs = staged(by_sketch(pairs, sketches, percent), "pairs")
     links = staged(confirmed(pairs, made, percent), "links")
     roots = components(links, "a", "b")
     for forest in (True, False):
-        pairs = staged(parted_pairs(stars, roots, made, percent, forest), "pairs")
+        pairs = staged(parted_pairs(stars, roots, sketches, percent, forest), "pairs")
         more = staged(confirmed(pairs, made, percent), "links")
         if not more.isEmpty():
             links = links.unionAll(more)

@@ -151,3 +151,16 @@ def test_query_equals_its_sql(spark):
     name = "op11_minhash_dedup"
     with compare.duck(SF) as connection:
         assert compare.differences(queries.QUERIES[name](spark, SF), connection, queries.SQL[name]) == []
+
+
+def test_likely_keeps_all_that_are_asked_for(spark):
+    from tariffbook.llm.common import likely
+
+    rows = spark.range(-50_000, 50_000).selectExpr("id", "cast(id AS string) AS `odd name`")
+    keys = spark.range(-50_000, 50_000, 37).selectExpr("id AS k").unionAll(spark.createDataFrame([(10**12,)], "k long"))
+    kept = likely(rows, "id", keys)
+    assert kept.columns == rows.columns
+    asked = kept.where("(id + 50000) % 37 = 0").count()
+    assert asked == keys.count() - 1
+    assert kept.count() < asked * 1.2
+    assert likely(rows, "id", keys.limit(0)).count() == 0
