@@ -4,30 +4,59 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tariffbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or, in local mode only, a new temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or, in local mode only, a temporary one of this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tariffbook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return folder or _local_folder()
+
+
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, outlive: bool = False) -> str:
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for block in _blocks.get()[: -1 if outlive else None][-1:]:
+        block.append(path)
+    return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends here and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end of the block what was written in it, but for what is to outlive it."""
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def staged(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: lineage ends here and a lost executor loses nothing.
+
+    It stays there, unless this is called in a block of ``cleared``: then until the end of the block, or, if it is
+    to outlive that, of the one around it.
+    """
+    path = new_path(df.sparkSession, name, outlive)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -11,19 +11,19 @@ of it in ``BOUND``, and 0 beyond.
 replaced by the begin of the next document in descending order of id (after
 the last comes the first). Documents are sorted within ranges of the id; each
 range gets a copy of the first document of the next one, so text is moved once
-and no task sees more than its range.
+and no task sees more than its range. An id with a large share of the rows, and
+rows without one, are spread over several ranges by a hash of their text.
 
 Defined cases: a null or empty text has the digest of no triplets, which is
-like itself; of repeated ids the lesser text comes first; null ids come last;
-a single document is its own next one; an empty table gives an empty result;
-other columns of the input are not read.
+like itself; rows of one id go by a hash of their text, the greatest first; null
+ids come last; a single document is its own next one; an empty table gives an
+empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffbook.llm.common import text_or_empty
+from tariffbook.llm.ranges import ranges_of
 
 BUCKETS, BOUND, LENGTH_STEP = 512, 1024, 4
 PATTERNS = [(1, 2), (1, 3), (2, 3)]  # of a triplet: the places after its first byte
@@ -131,24 +132,28 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(rows.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.1 / count)))
-    number = reduce(lambda column, cut: column + (F.col("doc_id") > cut).cast("bigint"), cuts, F.lit(0).cast("bigint"))
-    rows = rows.select(F.coalesce(number, F.lit(0)).alias("shard"), "doc_id", "text")
-    # The largest id of each range; at most as many as there are ranges.
-    heads = rows.groupBy("shard").agg(F.max("doc_id").alias("head")).orderBy("shard").collect()
+    ranges = ranges_of(rows, "doc_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    @F.arrow_udf("bigint")
+    def number(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        return pa.array(ranges.number(ids, hashes.to_numpy()), pa.int64())
+
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    rows = hashed.select(number("doc_id", "hash").alias("shard"), "doc_id", "hash", "text")
+    # The first document of each range goes to the one before; at most as many rows as there are ranges.
+    heads = rows.groupBy("shard").agg(F.max(F.struct("doc_id", "hash")).alias("head")).orderBy("shard").collect()
     all_rows = rows.withColumn("copy", F.lit(False))
     if len(heads) > 1:
-        after = {heads[i - 1]["head"]: heads[i]["shard"] for i in range(len(heads))}  # i = 0: the very first document
-        known = {head: shard for head, shard in after.items() if head is not None}
-        goes_to = F.create_map(*(F.lit(x) for item in known.items() for x in item))
-        firsts = rows.where(F.col("doc_id").isin(list(known))).groupBy("doc_id").agg(F.min("text").alias("text"))
-        copies = firsts.select(goes_to[F.col("doc_id")].alias("shard"), "doc_id", "text", F.lit(True).alias("copy"))
-        all_rows = all_rows.unionByName(copies)
+        table = [(heads[(k + 1) % len(heads)]["shard"], *heads[k]["head"]) for k in range(len(heads))]
+        asked = F.broadcast(spark.createDataFrame(table, "shard bigint, doc_id bigint, hash bigint"))
+        here = rows["doc_id"].eqNullSafe(asked["doc_id"]) & (rows["hash"] == asked["hash"])
+        firsts = rows.join(asked, here).groupBy(asked["shard"], asked["doc_id"], asked["hash"])
+        all_rows = all_rows.unionByName(firsts.agg(F.min("text").alias("text")).withColumn("copy", F.lit(True)))
     return (
-        all_rows.repartition(count, "shard")
-        .sortWithinPartitions("shard", "copy", F.desc_nulls_last("doc_id"), "text")
+        all_rows.repartitionById(ranges.count, F.col("shard").cast("int"))
+        .sortWithinPartitions("shard", "copy", F.desc_nulls_last("doc_id"), F.desc("hash"), "text")
         .select("shard", "doc_id", "text", "copy")
         .mapInArrow(_compare, PAIRS_SCHEMA)
     )

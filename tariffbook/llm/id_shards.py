@@ -5,21 +5,25 @@ and writes, in ascending order of id, three Parquet tables under one folder:
 
 - ``blocks``: whole documents' ids put together to raw payloads, little-endian
   unsigned 16 or 32-bit by the size of the vocabulary, some ``BLOCK`` ids each;
-- ``shards``: how many ids lie before each shard;
+- ``shards``: how many ids and rows lie before each shard;
 - ``index``: per bucket of keys a minimal perfect hash function (hash and
   displace), and for each of its slots a fingerprint of the key and its run:
-  the address (shard, block, offset, length) of the ids of its first row, and
-  how many rows it has from there on. A lookup is two hashes, one displacement,
-  one slot and a comparison of the fingerprint.
+  the address (shard, block, offset, length) of the ids of its first row, that
+  row's place among all rows, and how many rows it has from there on. A lookup is
+  two hashes, one displacement, one slot and a comparison of the fingerprint.
 
-``lookup`` finds the runs of many keys; ``slices`` reads the payloads.
+``lookup`` finds the runs of many keys; ``slices`` reads the payloads, each row
+by its place; ``read_back`` brings the two together.
 
 Text is encoded before the one shuffle that sorts it, so ids move, at two bytes
-each. Ranges come from quantiles of the id column alone.
+each. Ranges come from quantiles of the id column alone; an id with a large share
+of the rows, and rows without one, are spread over several shards by a hash of
+their text, and their run goes on from shard to shard.
 
 Defined cases: a null or empty text holds the end id alone; repeated rows of an
-id are all written, side by side, and the key finds the run of them; rows
-with a null id are written first, have no key and are read by ``slices`` alone; an unknown key has no
+id are all written, side by side, in the order of a hash of their text, and the
+key finds the run of them; rows with a null id are written first, have no key and
+are told by their places; an unknown key has no
 address (but for a 32-bit fingerprint that is equal by chance); an empty table
 gives empty files and results; other columns of the input are not read.
 """
@@ -27,7 +31,7 @@ gives empty files and results; other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,17 +40,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffbook.llm.common import new_path, text_or_empty
+from tariffbook.llm.ranges import ranges_of
 from tariffbook.llm.tokenizing import json_encoder
 
 BLOCK = 1 << 16  # ids of a block; a longer document has a block of its own
 BUCKET, TRIALS = 4096, 32  # keys of an index bucket, on average; displacements tried at a time
 BLOCKS_SCHEMA = (
-    "shard bigint, block bigint, start bigint, n_ids bigint, payload binary, "
+    "shard bigint, block bigint, start bigint, row bigint, n_ids bigint, payload binary, "
     "keys array<bigint>, offsets array<bigint>, lengths array<bigint>"
 )
-INDEX_SCHEMA = "bucket bigint, n bigint, displace binary, prints binary, shard binary, block binary, offset binary, length binary, rows binary"
+INDEX_SCHEMA = "bucket bigint, n bigint, displace binary, prints binary, shard binary, block binary, offset binary, length binary, place binary, rows binary"
+SHARDS_SCHEMA = "shard bigint, base bigint, rows_base bigint, nulls bigint, width int"
 ADDRESS = ["shard", "block", "offset", "length"]
-RUN = [*ADDRESS, "rows"]
+RUN = [*ADDRESS, "place", "rows"]
 
 
 def mix(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -119,12 +125,12 @@ def _blocks(width: int):
     """Turns sorted rows (shard, doc_id, ids) into block rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, start, payload, keys, lengths = None, 0, 0, [], [], []
+        shard, block, start, first, payload, keys, lengths = None, 0, 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:
             ends = np.cumsum(lengths)
             row = {
-                "shard": shard, "block": block, "start": start, "n_ids": int(ends[-1]), "payload": b"".join(payload),
+                "shard": shard, "block": block, "start": start, "row": first, "n_ids": int(ends[-1]), "payload": b"".join(payload),
                 "keys": keys, "offsets": (ends - lengths).tolist(), "lengths": lengths,
             }
             return pa.RecordBatch.from_pylist([row], schema=BLOCKS_ARROW)
@@ -135,7 +141,7 @@ def _blocks(width: int):
                 n = len(ids) // width
                 if keys and (s != shard or held + n > BLOCK):
                     yield close()
-                    block, start = (block + 1, start + held) if s == shard else (0, 0)
+                    block, start, first = (block + 1, start + held, first + len(keys)) if s == shard else (0, 0, 0)
                     payload, keys, lengths, held = [], [], [], 0
                 shard = s
                 payload.append(ids)
@@ -149,7 +155,7 @@ def _blocks(width: int):
 
 
 BLOCKS_ARROW = pa.schema(
-    [("shard", pa.int64()), ("block", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary()),
+    [("shard", pa.int64()), ("block", pa.int64()), ("start", pa.int64()), ("row", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary()),
      ("keys", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]
 )
 
@@ -187,37 +193,46 @@ def write(
     width = np.dtype(_encoder(path, kind).dtype).itemsize
     end = int(end_id).to_bytes(width, "little")
 
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges_of(rows, "doc_id", count)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, kind)
         for batch in _slices(batches, 512):
+            shard = pa.array(ranges.number(batch.column(0), batch.column(2).to_numpy()), pa.int64())
             ids = pa.array([encoder.encode(t) + end for t in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([shard, batch.column(0), batch.column(2), ids], ["shard", "doc_id", "hash", "ids"])
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(rows.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.1 / count)))
-    shard = reduce(lambda column, cut: column + (F.col("doc_id") > cut).cast("bigint"), cuts, F.lit(0).cast("bigint"))
     (
-        rows.mapInArrow(encode, "doc_id bigint, ids binary")
-        .select(F.coalesce(shard, F.lit(0)).alias("shard"), "doc_id", "ids")
-        .repartition(count, "shard")
-        .sortWithinPartitions("shard", "doc_id", "ids")
+        rows.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+        .mapInArrow(encode, "shard bigint, doc_id bigint, hash bigint, ids binary")
+        .repartitionById(ranges.count, F.col("shard").cast("int"))
+        .sortWithinPartitions("shard", "doc_id", "hash", "ids")
+        .select("shard", "doc_id", "ids")
         .mapInArrow(_blocks(width), BLOCKS_SCHEMA)
         .write.parquet(f"{folder}/blocks")
     )
     blocks = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{folder}/blocks")
-    totals = blocks.groupBy("shard").agg(F.sum("n_ids"), F.sum(F.size("keys"))).orderBy("shard").collect()
-    bases = np.cumsum([0, *(n for _, n, _ in totals)]).tolist()
-    table = [(s, base, width) for (s, _, _), base in zip(totals, bases)]
-    spark.createDataFrame(table, "shard bigint, base bigint, width int").coalesce(1).write.parquet(f"{folder}/shards")
-
-    buckets = max(1, -(-sum(n for _, _, n in totals) // BUCKET))
+    without = F.sum(F.size(F.filter("keys", lambda k: k.isNull())))
+    totals = blocks.groupBy("shard").agg(F.sum("n_ids"), F.sum(F.size("keys")), without).orderBy("shard").collect()
+    bases, rows_bases = (np.cumsum([0, *(t[k] for t in totals)]).tolist() for k in (1, 2))
+    nulls = sum(t[3] for t in totals)
+    table = [(t[0], base, before, nulls, width) for t, base, before in zip(totals, bases, rows_bases)]
+    spark.createDataFrame(table, SHARDS_SCHEMA).coalesce(1).write.parquet(f"{folder}/shards")
+
+    buckets = max(1, -(-rows_bases[-1] // BUCKET))
+    before = spark.read.schema(SHARDS_SCHEMA).parquet(f"{folder}/shards").select("shard", "rows_base")
     (
-        blocks.select("shard", "block", F.explode(F.arrays_zip("keys", "offsets", "lengths")).alias("e"))
-        .select("shard", "block", F.col("e.keys").alias("key"), F.col("e.offsets").alias("offset"), F.col("e.lengths").alias("length"))
-        .where("key IS NOT NULL")
+        blocks.select("shard", "block", "row", F.posexplode(F.arrays_zip("keys", "offsets", "lengths")).alias("k", "e"))
+        .where("e.keys IS NOT NULL")
+        .join(before, "shard")
+        .select(
+            F.col("e.keys").alias("key"), (F.col("rows_base") + F.col("row") + F.col("k")).alias("place"),
+            "shard", "block", F.col("e.offsets").alias("offset"), F.col("e.lengths").alias("length"),
+        )
         .groupBy("key")
-        .agg(F.min(F.struct(*ADDRESS)).alias("first"), F.count("*").alias("rows"))
+        .agg(F.min(F.struct("place", *ADDRESS)).alias("first"), F.count("*").alias("rows"))
         .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"), "key", "first.*", "rows")
         .repartition(count, "bucket")
         .sortWithinPartitions("bucket", "key")
@@ -228,9 +243,10 @@ def write(
 
 
 def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
-    """``key, shard, block, offset, length, rows`` of the distinct non-null values of the first column of ``keys``; nulls if unknown.
+    """``key, shard, block, offset, length, place, rows`` of the distinct non-null values of the first column of ``keys``; nulls if unknown.
 
-    The address is that of the key's first row; ``rows`` counts those that follow it, itself included.
+    The address is that of the key's first row, ``place`` the number of rows before it; ``rows`` counts those
+    that follow it, itself included.
     """
     index = spark.read.schema(INDEX_SCHEMA + ", buckets int").parquet(f"{folder}/index")
     buckets = index.select("buckets").head()
@@ -253,32 +269,34 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
 
     return (
         asked.groupBy("bucket").cogroup(index.groupBy("bucket"))
-        .applyInPandas(find, "key bigint, shard bigint, block bigint, offset bigint, length bigint, rows bigint")
+        .applyInPandas(find, "key bigint, " + ", ".join(f"{column} bigint" for column in RUN))
     )
 
 
 def slices(spark: SparkSession, folder: str) -> DataFrame:
-    """Each row's ids as the files hold them: ``doc_id, shard, block, offset, length, start, ids``.
+    """Each row's ids as the files hold them: ``doc_id, place, shard, block, offset, length, start, ids``.
 
-    ``ids`` are little-endian unsigned 32-bit integers, ``start`` counts the ids of all documents before.
+    ``ids`` are little-endian unsigned 32-bit integers; ``place`` and ``start`` count the rows and the ids of all
+    documents before.
     """
     blocks = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{folder}/blocks")
-    shards = spark.read.schema("shard bigint, base bigint, width int").parquet(f"{folder}/shards")
-    by_shard = {r["shard"]: (r["base"], r["width"]) for r in shards.collect()}  # one row per shard
+    shards = spark.read.schema(SHARDS_SCHEMA).parquet(f"{folder}/shards")
+    by_shard = {r["shard"]: (r["base"], r["rows_base"], r["width"]) for r in shards.collect()}  # one row per shard
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in _slices(batches, 1):
             row = one.to_pylist()[0]
-            base, width = by_shard[row["shard"]]
+            base, before, width = by_shard[row["shard"]]
             payload = np.frombuffer(row["payload"], f"<u{width}").astype("<u4")
-            n = len(row["offsets"])
+            n, first = len(row["offsets"]), before + row["row"]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(row["keys"], pa.int64()), "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
+                "doc_id": pa.array(row["keys"], pa.int64()), "place": range(first, first + n),
+                "shard": [row["shard"]] * n, "block": [row["block"]] * n, "offset": row["offsets"],
                 "length": row["lengths"], "start": [base + row["start"] + o for o in row["offsets"]],
                 "ids": [payload[o : o + m].tobytes() for o, m in zip(row["offsets"], row["lengths"])],
             })
 
-    schema = "doc_id bigint, shard bigint, block bigint, offset bigint, length bigint, start bigint, ids binary"
+    schema = "doc_id bigint, place bigint, shard bigint, block bigint, offset bigint, length bigint, start bigint, ids binary"
     return blocks.mapInArrow(cut, schema)
 
 
@@ -296,14 +314,16 @@ def get(spark: SparkSession, folder: str, key: int) -> list[int] | None:
 
 
 def read_back(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every row of the runs of ``keys``, and of every row without a key."""
+    """``doc_id, start, n_tokens, ids_crc32`` of every row of the runs of ``keys``, and of every row without a key.
+
+    Which rows are a key's is told by the places of its run, not by what the blocks store beside the payload.
+    """
     runs = lookup(spark, folder, keys).where("shard IS NOT NULL")
-    runs = runs.select("key", F.col("shard").alias("at"), F.struct("block", "offset").alias("first"))
-    read = slices(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    here = (F.col("doc_id") == F.col("key")) & (F.col("shard") == F.col("at")) & (F.struct("block", "offset") >= F.col("first"))
-    return read.join(runs, here, "left").where("doc_id IS NULL OR key IS NOT NULL").select(
-        "doc_id", "start", F.col("length").alias("n_tokens"), "ids_crc32"
-    )
+    mine = runs.select(F.col("key").alias("doc_id"), F.explode(F.sequence("place", F.col("place") + F.col("rows") - 1)).alias("place"))
+    shards = spark.read.schema(SHARDS_SCHEMA).parquet(f"{folder}/shards").select("nulls").head()
+    nameless = spark.range(shards["nulls"] if shards else 0).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("id").alias("place"))
+    read = slices(spark, folder).select("place", "start", F.col("length").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return read.join(mine.unionAll(nameless), "place").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

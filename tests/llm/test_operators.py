@@ -272,8 +272,10 @@ def test_id_shards_return_every_row(spark, docs, tmp_path):
     rows = docs.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id long, text string"))
     rows.write.parquet(f"{tmp_path}/documents.parquet")
     tokenizer, expected, at = Tokenizer.from_file(BYTE), Counter(), 0
-    coded = [(i, np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")) for i, t in pairs(rows)]
-    for i, ids in sorted(coded, key=lambda r: (r[0] is not None, r[0], r[1].astype("<u2").tobytes())):
+    hashed = lambda t: np.array([xxhash.xxh64_intdigest(t.encode(), 42)], np.uint64).view(np.int64)[0]
+    ordered = sorted(pairs(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashed(r[1])))
+    coded = [(i, np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")) for i, t in ordered]
+    for i, ids in coded:
         expected[i, at, len(ids), zlib.crc32(ids.tobytes())] += 1
         at += len(ids)
     assert Counter(tuple(r) for r in id_shards.op9_id_shards(spark, str(tmp_path)).collect()) == expected
@@ -333,3 +335,70 @@ def test_pipeline_rejects_rows(spark, texts, monkeypatch, tmp_path):
     judged = lambda docs, *_, row: docs.select(F.col(row).alias("row"), F.col("text").startswith(texts[12][:40]).alias("keep"))
     monkeypatch.setattr(importance, "resample", judged)
     assert [tuple(r) for r in corpus_pipeline.quality(spark, docs, str(tmp_path)).collect()] == [(1, texts[12])]
+
+
+def test_decontamination_of_short_and_equal_items(spark, texts):
+    """Items under eight words are found as they stand and not otherwise; equal items are rows of their own."""
+    words = texts[11].split()
+    long, short, gap = " ".join(words[30:60]), " ".join(words[100:107]), " ".join(words[100:103] + words[104:107])
+    bench = [(1, long), (2, long), (None, long), (3, short), (4, gap), (5, words[7]), (6, f"{words[100]} unheard"), (7, "")] + [(8, short)] * 3
+    bench = spark.createDataFrame(bench, "item_id long, text string").repartition(4)
+    docs = spark.createDataFrame([(1, texts[11]), (1, texts[11]), (2, f"x {short.upper()}!"), (3, "x"), (None, long)], "doc_id long, text string")
+    found = Counter((r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(docs, bench).collect())
+    plain = [w.strip(",.") for w in (words[7], *short.split(), "", *long.split())]
+    own = {1} | {d for d, of in ((2, plain[1 : plain.index("")]), (None, plain[plain.index("") :])) if plain[0] in of}
+    expected = Counter({(1, i): 2 for i in (1, 2, None, 3)} | {(1, 8): 6, (2, 3): 1, (2, 8): 3} | {(None, i): 1 for i in (1, 2, None)})
+    expected += Counter({(d, 5): 2 if d == 1 else 1 for d in own})
+    assert found == expected
+    fewer = decontaminate.decontaminate(docs, bench, least=8).select("item_id").distinct().collect()
+    assert {r["item_id"] for r in fewer} == {1, 2, None}
+
+
+def test_fit_sample_is_bounded_and_fixed(spark, monkeypatch):
+    """By different rows, whatever their ids, in any order."""
+    monkeypatch.setattr(decontaminate, "FIT_DOCS", 50)
+    rows = [(4, f"text {i}") for i in range(600)] + [(None, "copy")] * 400 + [(i, "copy") for i in range(20)]
+    chosen = []
+    for seed in (1, 2):
+        order = np.random.default_rng(seed).permutation(len(rows))
+        df = spark.createDataFrame([rows[k] for k in order], "doc_id long, text string").repartition(3 * seed)
+        chosen.append(Counter(tuple(r) for r in decontaminate.fit_sample(df).collect()))
+    assert chosen[0] == chosen[1]
+    assert sum(chosen[0].values()) == len(chosen[0]) == 50
+
+
+def test_candidates_are_those_of_brute_force_cosines(spark):
+    """Of windows whose TF-IDF cosine with an item reaches the bound, at least nine in ten are candidates."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rng, items, texts = np.random.default_rng(3), [], []
+    pool = [t.split() for t in (r["text"] for r in docs.collect()) if len(t.split()) > 150]
+    for share in (0.0, 0.2, 0.4):
+        for size in (10, 25, 60):
+            for _ in range(6):
+                source = pool[rng.integers(len(pool))]
+                at = int(rng.integers(0, len(source) - size))
+                items.append(" ".join(source[at : at + size]))
+                other = pool[rng.integers(len(pool))]
+                copy = [other[rng.integers(len(other))] if rng.random() < share else w for w in source[at : at + size]]
+                place = int(rng.integers(0, len(other)))
+                texts.append(" ".join([*other[:place], *copy, *other[place:]]))
+    arrow = pa.array(items)
+    idf = decontaminate.weights(docs)
+    made = decontaminate.Items(list(range(len(items))), arrow, idf, decontaminate.latent_basis(decontaminate.fit_sample(docs), arrow, idf))
+    hashes, number = decontaminate.words_of(pa.array(texts))
+    found = {(doc, i, low) for doc, i, low, _, _ in decontaminate.candidates(hashes, number, made)}
+    wanted = set()
+    for doc in range(len(texts)):
+        first, own = int(np.searchsorted(number, doc)), hashes[number == doc]
+        for span, numbers in made.by_span.items():
+            step, size = span // 2 * decontaminate.BLOCK, span * decontaminate.BLOCK
+            for low in range(0, len(own), step):
+                window = np.bincount(decontaminate.terms_of(own[low : low + size]), minlength=decontaminate.TERMS)
+                weight = np.sqrt((window * made.square).sum())
+                for i in numbers:
+                    item = np.bincount(decontaminate.terms_of(np.array(made.words[i], np.uint64)), minlength=decontaminate.TERMS)
+                    cosine = (window * item * made.square).sum() / (weight * np.sqrt((item * made.square).sum()))
+                    if cosine >= decontaminate.COSINE:
+                        wanted.add((doc, i, first + low))
+    assert len(wanted) > 40
+    assert len(wanted & found) >= 0.9 * len(wanted)
