@@ -12,14 +12,14 @@ from tariffbook.operators.skew import lookup_join
 LEAST_BUCKET_DAYS = 30
 
 
-def _bucket_rule(summary: DataFrame) -> DataFrame:
+def bucket_rule(summary: DataFrame) -> DataFrame:
     """Adds ``bucket_days``: about the mean length of a plan's versions, so that a plan has as many buckets as versions."""
     span = F.datediff("last_effective", "first_effective")
     days = F.greatest(F.lit(LEAST_BUCKET_DAYS), F.ceil(span / F.col("versions")))
     return summary.select("plan_id", "current_price", "first_effective", "last_effective", days.alias("bucket_days"))
 
 
-def _bucket(day: Column) -> Column:
+def bucket_of(day: Column) -> Column:
     """Join bucket of a day: how many of the plan's bucket lengths after its first effective date.
 
     Days after the plan's last effective date share that date's bucket:
@@ -37,9 +37,9 @@ def _bucketed_versions(history: DataFrame, summary: DataFrame) -> DataFrame:
     Versions that can match nothing (a missing or reversed bound) are left out.
     """
     matchable = history.filter(F.col("effective_date") <= F.col("end_date"))
-    rule = _bucket_rule(summary).drop("current_price")
+    rule = bucket_rule(summary).drop("current_price")
     spans = lookup_join(matchable, rule, "plan_id")
-    buckets = F.sequence(_bucket(F.col("effective_date")), _bucket(F.col("end_date")))
+    buckets = F.sequence(bucket_of(F.col("effective_date")), bucket_of(F.col("end_date")))
     return spans.select(
         "plan_id",
         F.explode(buckets).alias("_bucket"),
@@ -74,23 +74,32 @@ def resolve_prices(
     versions comes out twice. ``known_plans_only`` drops rows whose plan has no
     version at all, which saves a separate semi join.
 
-    ``bucketed`` joins on plan and bucket, so a plan with a large share of all
+    ``as_of`` is for histories without overlaps, where at most one version is
+    valid: it finds the last version that began on or before each distinct day
+    of a plan, and fails where it meets an overlap. ``bucketed`` joins on plan and bucket, so a plan with a large share of all
     versions and subscriptions is spread over its buckets, and no row is compared
     with more versions than touch its bucket. ``plain`` joins on the plan alone, for histories known to have few versions per plan.
     Neither forces a broadcast: Spark does that where the measured size allows.
     """
     summary = plan_summary(history)
-    looked_up = _bucket_rule(summary) if strategy == "bucketed" else summary.select("plan_id", "current_price")
+    if strategy not in ("bucketed", "as_of", "plain"):
+        raise ValueError(f"unknown strategy: {strategy!r}")
+    looked_up = summary.select("plan_id", "current_price") if strategy == "plain" else bucket_rule(summary)
     with_plan = lookup_join(fact, looked_up, "plan_id", "inner" if known_plans_only else "left")
     day = F.col(at)
+    if strategy == "as_of":
+        from tariffbook.operators.as_of import versions_on
+
+        keyed = with_plan.withColumn("_bucket", bucket_of(day)).withColumn("_day", day)
+        found = versions_on(keyed.select("plan_id", "_day", "_bucket").distinct(), history)
+        priced = keyed.join(found, ["plan_id", "_day"], "left")
+        return priced.select(*fact.columns, "plan_tier", "actual_monthly_price", "current_price")
     valid = day.between(F.col("effective_date"), F.col("end_date"))
     if strategy == "bucketed":
-        keyed = with_plan.withColumn("_bucket", _bucket(day))
+        keyed = with_plan.withColumn("_bucket", bucket_of(day))
         versions, keys = _bucketed_versions(history, summary), ["plan_id", "_bucket"]
-    elif strategy == "plain":
-        keyed, versions, keys = with_plan, _plain_versions(history), ["plan_id"]
     else:
-        raise ValueError(f"unknown strategy: {strategy!r}")
+        keyed, versions, keys = with_plan, _plain_versions(history), ["plan_id"]
     left, right = keyed.alias("fact"), versions.alias("version")
     same_key = [F.col(f"fact.{k}") == F.col(f"version.{k}") for k in keys]
     joined = left.join(right, [*same_key, valid], "left")

@@ -12,6 +12,7 @@ from pyspark.sql.types import DecimalType
 
 from tariffbook.functions import dates, text
 from tariffbook.operators import (
+    coverage,
     enrichment,
     marts,
     plans,
@@ -22,7 +23,8 @@ from tariffbook.operators import (
     subscriptions,
 )
 from tariffbook.plans import jobs
-from tariffbook.sources import manifest, warehouse
+from tariffbook.schemas import RAW_SUBSCRIBERS
+from tariffbook.sources import lines, manifest, warehouse
 from tariffbook.streaming import intake
 
 INPUT_TABLES = ["customer", "nation", "part", "orders", "lineitem", "documents"]
@@ -215,6 +217,17 @@ def scd_price_resolution_bucketed(t: Tables) -> DataFrame:
     return _resolved(t.priced("bucketed"))
 
 
+def price_gaps_and_overlaps(t: Tables) -> DataFrame:
+    return coverage.gaps_and_overlaps(t.history)
+
+
+def scd_price_as_of(t: Tables) -> DataFrame:
+    """Prices by the last version before each day, for the plans whose versions do not overlap."""
+    history = coverage.without_overlaps(t.history)
+    known = subscriptions.with_known_subscriber(t.raw_subscriptions, t.subscribers)
+    return _resolved(jobs.priced_subscriptions(known, history, "as_of"))
+
+
 def unresolved_prices(t: Tables) -> DataFrame:
     return pricing.unresolved(t.priced()).groupBy("plan_id").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -316,6 +329,32 @@ def delivery_ledger(t: Tables) -> DataFrame:
     return numbered[0].union(numbered[1])
 
 
+def content_digests(t: Tables) -> DataFrame:
+    """Digests of files of a thousand documents, a line each, put together from parts of a hundred."""
+    docs = t.source("documents").selectExpr("doc_id div 1000 AS file", "doc_id % 1000 AS k", "text AS value")
+    read = docs.selectExpr("concat('file-', file) AS path", "k div 100 * 100 AS block", "k + 7 AS seq", "value")
+    lengths = read.groupBy("path").agg(F.sum(F.octet_length("value") + 1).alias("length"))
+    return lines.file_contents(read, lengths).select("path", "content_md5", "lines")
+
+
+def records_and_bad_lines(t: Tables) -> DataFrame:
+    """Subscribers as lines of text, some of them broken, told apart and read again."""
+    key, fields = F.col("subscriber_id"), RAW_SUBSCRIBERS.names
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]
+    texts[1] = F.concat(F.lit('"'), texts[1], F.lit(', \\"q\\","'))
+    header = ",".join([*fields, "note"])
+    value = (
+        F.when(key % 13 == 1, F.concat_ws(",", *texts))
+        .when(key % 17 == 2, F.concat_ws(",", *texts, F.lit("x,y"), F.lit("z")))
+        .when(key % 19 == 3, F.concat_ws(",", *texts[:4], F.lit('"open'), *texts[5:], F.lit("x")))
+        .when(key % 23 == 4, "  ")
+        .when(key % 29 == 5, header)
+        .otherwise(F.concat_ws(",", *texts, F.lit('"a, b"')))
+    )
+    told = lines.records(t.raw_subscribers.select(key.alias("line"), value.alias("value")), header, RAW_SUBSCRIBERS)
+    return told.select("line", "kind", "raw", "subscriber_id", "name", "email", "country", "signup_date", "age")
+
+
 QUERIES: list[Callable[[Tables], DataFrame]] = [
     normalise_country,
     normalise_phone,
@@ -342,6 +381,8 @@ QUERIES: list[Callable[[Tables], DataFrame]] = [
     rejected_records,
     scd_price_resolution,
     scd_price_resolution_bucketed,
+    scd_price_as_of,
+    price_gaps_and_overlaps,
     unresolved_prices,
     price_variance,
     total_subscriptions,
@@ -356,6 +397,8 @@ QUERIES: list[Callable[[Tables], DataFrame]] = [
     content_hash_dedup,
     input_manifest_missing,
     delivery_ledger,
+    content_digests,
+    records_and_bad_lines,
     input_file_rows,
 ]
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tariffbook.functions.dates import AsOf
@@ -20,6 +23,7 @@ from tariffbook.operators.subscriptions import (
     type_subscriptions,
 )
 from tariffbook.schemas import ENRICHED_SUBSCRIPTIONS, RAW_FILES
+from tariffbook.sources import releases
 from tariffbook.sources.files import export_csv, write_table
 from tariffbook.streaming import intake
 
@@ -99,8 +103,26 @@ def landed(spark: SparkSession, landing_dir: str) -> RawTables:
     return subscribers, plans, subscriptions
 
 
-def transform(spark: SparkSession, raw: RawTables, output_dir: str, as_of: AsOf = None) -> dict[str, Observation]:
-    """Raw tables to staged tables and rejects. The counts per table were taken while writing.
+def bad_lines(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Lines of the newest delivery that are no records, as rejects: ``table, record_id, rule, rows``.
+
+    The id of a line is its file and number.
+    """
+    files = intake.current_files(spark, landing_dir)
+    found = [
+        intake.bad_lines(spark, landing_dir, table, files).select(
+            F.lit(table).alias("table"), F.concat_ws(":", "path", "line").alias("record_id"),
+            F.col("reason").alias("rule"), F.lit(1).cast("bigint").alias("rows"),
+        )
+        for table in TABLES
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def transform(
+    spark: SparkSession, raw: RawTables, output_dir: str, as_of: AsOf = None, more_rejects: DataFrame | None = None
+) -> dict[str, Observation]:
+    """Raw tables to staged tables and rejects, with ``more_rejects``. The counts per table were taken while writing.
 
     The priced fact is a stage of its own, since both the count per subscriber
     and the join to the subscribers need it.
@@ -111,7 +133,8 @@ def transform(spark: SparkSession, raw: RawTables, output_dir: str, as_of: AsOf
     history = stage.table("plan_price_history", price_history(raw_plans, as_of))
     priced = stage.table("priced_subscriptions", priced_subscriptions(raw_subscriptions, history))
     stage.table("enriched_subscriptions", enrich(priced, subscribers, as_of), ["subscription_month"])
-    stage.table("rejects", rejects(*raw, subscribers, history))
+    dropped = rejects(*raw, subscribers, history)
+    stage.table("rejects", dropped if more_rejects is None else dropped.unionByName(more_rejects))
     return stage.rows
 
 
@@ -125,7 +148,32 @@ def analytics(spark: SparkSession, output_dir: str) -> dict[str, Observation]:
 
 
 def run(spark: SparkSession, source_dir: str, output_dir: str, as_of: AsOf = None) -> dict[str, Observation]:
-    """All three steps. Landing zone, staged tables and reports all lie under ``output_dir``."""
+    """All three steps. Landing zone, staged tables and reports all lie under ``output_dir``, each written over in place."""
+    landing_dir = f"{output_dir}/landing"
+    ingest(spark, source_dir, landing_dir)
+    raw, bad = landed(spark, landing_dir), bad_lines(spark, landing_dir)
+    return transform(spark, raw, output_dir, as_of, bad) | analytics(spark, output_dir)
+
+
+def publish(spark: SparkSession, source_dir: str, output_dir: str, as_of: AsOf = None, keep: int = 2) -> dict[str, int]:
+    """All three steps, in a folder of the run's own that becomes the current one only when all is written; rows per table.
+
+    A run that fails leaves the one before as it was; the last ``keep`` stay.
+    """
     landing_dir = f"{output_dir}/landing"
     ingest(spark, source_dir, landing_dir)
-    return transform(spark, landed(spark, landing_dir), output_dir, as_of) | analytics(spark, output_dir)
+    number, folder = releases.new_run(spark, output_dir)
+    raw, bad = landed(spark, landing_dir), bad_lines(spark, landing_dir)
+    counted = transform(spark, raw, folder, as_of, bad) | analytics(spark, folder)
+    rows = {name: observation.get["rows"] for name, observation in counted.items()}
+    releases.publish(spark, output_dir, number, rows)
+    releases.tidy(spark, output_dir, keep)
+    return rows
+
+
+def published(spark: SparkSession, output_dir: str, name: str, schema: StructType) -> DataFrame:
+    """A staged table of the current run."""
+    now = releases.published(spark, output_dir)
+    if now is None:
+        raise FileNotFoundError(f"nothing is published in {output_dir}")
+    return Stage(spark, now[1]).read(name, schema)

@@ -238,6 +238,24 @@ _QUERIES = {
         SELECT subscription_id, plan_id, subscription_start_date, plan_tier,
             actual_cents / 100.0 AS actual_monthly_price
         FROM priced""",
+    "scd_price_as_of": """
+        SELECT * FROM (WITH versions AS (SELECT *, row_number() OVER () AS id FROM history WHERE effective_date <= end_date),
+        twice AS (
+            SELECT DISTINCT a.plan_id FROM versions a JOIN versions b ON a.plan_id = b.plan_id AND a.id < b.id
+            WHERE a.effective_date <= b.end_date AND b.effective_date <= a.end_date)
+        SELECT subscription_id, plan_id, subscription_start_date, plan_tier,
+            actual_cents / 100.0 AS actual_monthly_price
+        FROM priced WHERE plan_id NOT IN (SELECT plan_id FROM twice))""",
+    "price_gaps_and_overlaps": """
+        SELECT * FROM (WITH seen AS (
+            SELECT *, max(end_date) OVER (
+                PARTITION BY plan_id ORDER BY effective_date, end_date, price_cents, plan_tier
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered
+            FROM history WHERE effective_date <= end_date)
+        SELECT plan_id, 'gap' AS kind, covered + 1 AS first_day, effective_date - 1 AS last_day
+        FROM seen WHERE effective_date - 1 > covered
+        UNION ALL
+        SELECT plan_id, 'overlap', effective_date, least(end_date, covered) FROM seen WHERE effective_date <= covered)""",
     "unresolved_prices": """
         SELECT plan_id, count(*) AS "rows" FROM priced WHERE actual_cents IS NULL GROUP BY plan_id""",
     "price_variance": """
@@ -295,6 +313,33 @@ _QUERIES = {
                 WHEN row_number() OVER (PARTITION BY number, content ORDER BY path) > 1 THEN 'known'
                 ELSE 'landed' END AS state
         FROM delivered_files""",
+    "content_digests": """
+        SELECT path, md5(concat_ws('|', sum(strlen(text) + 1), count(*), sum(a), sum(a * k), sum(b), sum(b * k))) AS content_md5,
+            count(*) AS lines
+        FROM (SELECT 'file-' || (doc_id // 1000) AS path, text, doc_id % 1000 AS k,
+            CAST(CAST('0x' || md5(text)[1:15] AS BIGINT) AS HUGEINT) AS a,
+            CAST(CAST('0x' || md5(text)[17:31] AS BIGINT) AS HUGEINT) AS b FROM documents)
+        GROUP BY path""",
+    "records_and_bad_lines": """
+        SELECT * FROM (WITH texts AS (
+            SELECT *, subscriber_id AS key, CAST(subscriber_id AS VARCHAR) AS id, '"' || coalesce(name, '') || ', \\"q\\","' AS quoted,
+                [coalesce(email, ''), coalesce(phone, ''), coalesce(country, ''), coalesce(signup_date, ''), coalesce(age, '')] AS rest
+            FROM raw_subscribers),
+        told AS (
+            SELECT *, CASE WHEN key % 13 = 1 THEN 'too_few_fields' WHEN key % 17 = 2 THEN 'too_many_fields'
+                WHEN key % 19 = 3 THEN 'open_quote' WHEN key % 23 = 4 THEN 'blank' WHEN key % 29 = 5 THEN 'header'
+                ELSE 'record' END AS kind FROM texts)
+        SELECT key AS line, kind, CASE kind
+                WHEN 'too_few_fields' THEN concat_ws(',', id, quoted, array_to_string(rest, ','))
+                WHEN 'too_many_fields' THEN concat_ws(',', id, quoted, array_to_string(rest, ','), 'x,y', 'z')
+                WHEN 'open_quote' THEN concat_ws(',', id, quoted, rest[1], rest[2], '"open', rest[4], rest[5], 'x')
+                WHEN 'blank' THEN '  '
+                WHEN 'header' THEN 'subscriber_id,name,email,phone,country,signup_date,age,note' END AS raw,
+            CASE WHEN kind = 'record' THEN id END AS subscriber_id,
+            CASE WHEN kind = 'record' THEN coalesce(name, '') || ', "q",' END AS name,
+            CASE WHEN kind = 'record' THEN email END AS email, CASE WHEN kind = 'record' THEN country END AS country,
+            CASE WHEN kind = 'record' THEN signup_date END AS signup_date, CASE WHEN kind = 'record' THEN age END AS age
+        FROM told)""",
     "input_file_rows": "\n UNION ALL ".join(
         f"""SELECT '{table}.parquet' AS file_name, count(*) AS "rows" FROM {table}"""
         for table in _INPUT_TABLES

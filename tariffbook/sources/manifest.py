@@ -11,14 +11,22 @@ from tariffbook.schemas import RAW_FILES
 
 
 def listing(spark: SparkSession, source_dir: str, pattern: str = "*") -> DataFrame:
-    """``file_name, path, length, modification_time`` of the files below a folder whose name fits; contents are not read."""
+    """``file_name, path, length, modification_time`` of the files below a folder whose name fits; contents are not read.
+
+    ``scan_path`` is the path as scans of lines give it.
+    """
     options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
-    files = spark.read.format("binaryFile").options(**options).load(source_dir)
+    return file_entries(spark.read.format("binaryFile").options(**options).load(source_dir))
+
+
+def file_entries(files: DataFrame) -> DataFrame:
+    """The columns of ``listing`` from a scan, or stream, of whole files."""
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "path",
         "length",
         F.col("modificationTime").alias("modification_time"),
+        F.col("_metadata.file_path").alias("scan_path"),
     )
 
 

@@ -189,3 +189,85 @@ def test_manifest(spark, tmp_path):
     missing = missing_inputs(expected_files(spark), present)
     assert sorted(r.file_name for r in missing.collect()) == ["subscribers.csv", "subscriptions.csv"]
     require_inputs(spark, str(tmp_path), ["plans.csv"])
+
+
+def jobs_of(spark, work):
+    """How many Spark jobs ``work`` takes."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        work()
+        return len(context.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        context.setJobGroup("other", "other")
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    taken = {}
+    for files in (12, 1200):
+        source, landing = tmp_path / f"source{files}", str(tmp_path / f"landing{files}")
+        for i in range(files):
+            flipped = ",".join(reversed(HEADER.split(",")))
+            line = [str(i), "Basic", "9.99", "1/1/2024", ""]
+            pick = i % 3 == 1
+            write(source / "1", f"plans-{i:04}.csv", [",".join(line[::-1] if pick else line)], flipped if pick else HEADER)
+        if files == 1200:
+            (source / "2").mkdir()
+            write(source / "2", "plans-a.csv", LINES, days_ago=-1)
+            write(source / "2", "plans-b.csv", LINES, days_ago=-1)
+        taken[files] = jobs_of(spark, lambda: intake.ingest(spark, str(source), landing, TABLES))
+    assert taken[1200] <= taken[12] + 30 <= 70
+    states = {r["state"]: r["count"] for r in intake.read_ledger(spark, landing).groupBy("state").count().collect()}
+    assert states == {"landed": 1201, "known": 1}
+    ids = spark.read.parquet(f"{landing}/plans").where("kind = 'record'").select("plan_id")
+    assert ids.where("plan_id RLIKE '^[0-9]+$'").distinct().count() == 1200
+    rows = intake.current(spark, landing, "plans", RAW_PLANS).collect()
+    assert sorted(map(tuple, rows), key=str) == parsed(LINES)
+
+
+def test_reordered_or_extended_files_are_new_contents(place):
+    source, take_in = place
+    write(source / "1", "plans.csv", LINES, days_ago=3)
+    take_in()
+    write(source / "2", "plans.csv", LINES[::-1], days_ago=2)
+    rows, states = take_in()
+    assert (rows, states["2/plans.csv"]) == (parsed(LINES), (1, "landed", len(LINES)))
+    write(source / "3", "plans.csv", [f"{line},x" for line in LINES], f"{HEADER},note", days_ago=1)
+    rows, states = take_in()
+    assert (rows, states["3/plans.csv"]) == (parsed(LINES), (2, "landed", len(LINES)))
+    write(source / "4", "plans.csv", LINES[::-1], days_ago=0)
+    rows, states = take_in()
+    assert (rows, states["4/plans.csv"]) == (parsed(LINES), (3, "known", len(LINES)))
+
+
+def test_lines_that_are_no_records_are_kept_apart(spark, tmp_path):
+    """Records, bad lines, blanks and the header are all lines of the file."""
+    bad = {4: "P9,a", 7: "P9,a,1,2,3,4,5", 8: '"P9,a,1,2,3', 12: "P9"}
+    body = [bad.get(n, "" if n == 5 else LINES[n]) for n in range(2, 16)]
+    write(tmp_path / "1", "plans.csv", body, days_ago=1)
+    write(tmp_path / "1", "plans-2.csv", LINES[:3], days_ago=1)
+    landing = str(tmp_path / "landing")
+    intake.ingest(spark, str(tmp_path), landing, TABLES)
+    found = {(r["path"].rsplit("/", 1)[1], r["line"]): (r["reason"], r["raw"]) for r in intake.bad_lines(spark, landing, "plans").collect()}
+    assert found == {
+        ("plans.csv", 4): ("too_few_fields", bad[4]), ("plans.csv", 7): ("too_many_fields", bad[7]),
+        ("plans.csv", 8): ("open_quote", bad[8]), ("plans.csv", 12): ("too_few_fields", bad[12]),
+    }
+    ledger = {e["path"].rsplit("/", 1)[1]: (e["rows"], e["bad"], e["state"]) for e in intake.read_ledger(spark, landing).collect()}
+    assert ledger == {"plans.csv": (9, 4, "landed"), "plans-2.csv": (3, 0, "landed")}
+    assert 1 + 9 + 4 + 1 == len((tmp_path / "1" / "plans.csv").read_text().splitlines())
+    good = [line for n, line in enumerate(body, 2) if n not in bad and line] + LINES[:3]
+    assert sorted(map(tuple, intake.current(spark, landing, "plans", RAW_PLANS).collect()), key=str) == parsed(good)
+
+
+def test_a_killed_intake_is_taken_up_again(spark, tmp_path, monkeypatch):
+    """Lines landed but no ledger: nothing is current, and the next try ends as an undisturbed one."""
+    write(tmp_path / "1", "plans.csv", LINES[:9], days_ago=1)
+    landing = str(tmp_path / "landing")
+    with monkeypatch.context() as patched:
+        patched.setattr(intake, "_counted", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            intake.ingest(spark, str(tmp_path), landing, TABLES)
+    assert intake.current(spark, landing, "plans", RAW_PLANS).isEmpty()
+    intake.ingest(spark, str(tmp_path), landing, TABLES)
+    assert sorted(map(tuple, intake.current(spark, landing, "plans", RAW_PLANS).collect()), key=str) == parsed(LINES[:9])
