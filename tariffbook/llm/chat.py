@@ -12,12 +12,14 @@ A turn is written as ``<|role|>text</s>``. Control strings inside a role or a
 text get a backslash after their first sign, one more where there are some, so
 no text can end a turn and reading takes it off again.
 
-Prefix sums are made in two steps, within runs of ``RUN`` turns and over the
-runs' totals, so that a very long conversation is not one task's work; a
-window's turns are bounded by its tokens.
+A turn's tokens are counted once, as it is written, header and end included, and
+written with it. Prefix sums are made in two steps, within runs of ``RUN`` turns
+and over the runs' totals, so that a very long conversation is not one task's
+work; a window's turns are bounded by its tokens. Spans are chosen on keys and
+numbers alone; the texts join them once.
 
 Defined cases: a null text or role is empty; a null turn comes first, equal
-turns in the order of role and text, repeated rows count as turns; a null
+turns in the order of role and a hash of the text, repeated rows count as turns; a null
 conv_id is a conversation; the first system turn is the one that is retained;
 an empty table gives an empty result; other columns are not read.
 """
@@ -32,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tariffbook.llm.common import text_or_empty
+from tariffbook.llm.common import staged, text_or_empty
+from tariffbook.llm.tokenizing import json_encoder
 from tariffbook.operators.skew import lookup_join
 
 CELL, HISTORY, RUN = 384, 128, 64
@@ -64,17 +67,30 @@ def read_turns(text: str) -> list[tuple[str, str]]:
     return turns
 
 
-def spans(turns: DataFrame) -> DataFrame:
-    """``conv_id, conv, ordinal, role, text, n, upto, cell, own``: each turn with the tokens up to its end and its cell."""
-    rows = turns.select(
+def turn_rows(turns: DataFrame, path: str) -> DataFrame:
+    """``key, conv_id, conv, turn, run, role, text, hash, n``: each turn with its number of tokens as it is written."""
+
+    @F.arrow_udf("bigint")
+    def tokens(roles: pa.Array, texts: pa.Array) -> pa.Array:
+        encoder = json_encoder(path, "byte")
+        written = ("".join(write_turn(r, t)) + END for r, t in zip(roles.to_pylist(), texts.to_pylist()))
+        return pa.array([len(encoder.encode(w)) // 4 for w in written], pa.int64())
+
+    return turns.select(
+        F.monotonically_increasing_id().alias("key"),
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"),
         F.col("turn").cast("bigint").alias("turn"),
         F.coalesce(F.floor(F.col("turn").cast("bigint") / RUN), F.lit(-(1 << 62))).alias("run"),
         text_or_empty("role").alias("role"),
         text_or_empty("text").alias("text"),
-    ).withColumn("n", 2 + F.regexp_count("text", F.lit(r"\w+|[^\w\s]")).cast("bigint"))
-    in_run = Window.partitionBy("conv", "run").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    ).select("*", F.xxhash64("text").alias("hash"), tokens("role", "text").alias("n"))
+
+
+def spans(rows: DataFrame) -> DataFrame:
+    """``key, conv, ordinal, role, n, upto, cell, own``: each turn with the tokens up to its end and its cell; no texts."""
+    rows = rows.select("key", "conv", "turn", "run", "role", "hash", "n")
+    in_run = Window.partitionBy("conv", "run").orderBy(F.asc_nulls_first("turn"), "role", "hash")
     upto = in_run.rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("conv").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
@@ -90,16 +106,24 @@ def spans(turns: DataFrame) -> DataFrame:
         F.struct("conv", "run").alias("at"),
     )
     return lookup_join(placed, totals, "at").select(
-        "conv_id", "conv", (F.col("rows_before") + F.col("run_ordinal")).alias("ordinal"), "role", "text", "n",
+        "key", "conv", (F.col("rows_before") + F.col("run_ordinal")).alias("ordinal"), "role", "n",
         (F.col("n_before") + F.col("run_upto")).alias("upto"),
         F.floor((F.col("n_before") + F.col("run_upto") - 1) / CELL).alias("cell"),
         (F.col("n") <= CELL).alias("own"),  # a longer turn is the first to end in its cell
     )
 
 
-def windows(turns: DataFrame) -> DataFrame:
-    """``conv_id, window, text, n_repeated, loss_starts, loss_ends`` (code points), one row per window."""
-    placed = spans(turns)
+def windows(turns: DataFrame, path: str | None = None) -> DataFrame:
+    """``conv_id, window, text, n_repeated, loss_starts, loss_ends`` (code points), one row per window.
+
+    Tokens are those of the tokenizers file at ``path``, the public byte-level one by default.
+    """
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = staged(turn_rows(turns, path), "turns")
+    placed = staged(spans(rows), "spans")
     order = Window.partitionBy("conv").orderBy("cell", "own")
     ends = (
         placed.groupBy("conv", "cell", "own").agg(F.max("upto").alias("window_end"))
@@ -108,37 +132,26 @@ def windows(turns: DataFrame) -> DataFrame:
             F.lead("cell").over(order).isNotNull().alias("more"),
         )
     )
+    ends = staged(ends, "windows")
     numbered = lookup_join(placed.withColumn("at", F.struct("conv", "cell", "own")), ends.drop("conv"), "at")
     recent = F.col("more") & (F.col("window_end") - F.col("upto") + F.col("n") <= HISTORY)
-    entry = F.struct("ordinal", "role", "text")
-    kept = numbered.select(
-        "conv_id", "conv", entry.alias("entry"), "ordinal", "window", "role", recent.alias("recent")
-    )
+    kept = staged(numbered.select("key", "conv", "ordinal", "window", "role", recent.alias("recent")), "kept")
+    here = F.struct(F.col("window"), F.lit(False).alias("repeated"))
+    following = F.struct((F.col("window") + 1).alias("window"), F.lit(True).alias("repeated"))
+    at = F.explode(F.when(F.col("recent"), F.array(here, following)).otherwise(F.array(here))).alias("at")
+    shown = kept.select("key", "conv", "ordinal", at).select("key", "conv", "ordinal", "at.window", "at.repeated")
     system = (
         kept.where("role = 'system'").groupBy("conv")
-        .agg(F.min(F.struct("ordinal", "window", "entry")).alias("system")).select("conv", "system")
-    )
-    shown = kept.select(
-        "conv_id", "conv", "entry",
-        F.explode(
-            F.when(F.col("recent"), F.array(
-                F.struct(F.col("window"), F.lit(False).alias("repeated")),
-                F.struct((F.col("window") + 1).alias("window"), F.lit(True).alias("repeated")),
-            )).otherwise(F.array(F.struct(F.col("window"), F.lit(False).alias("repeated"))))
-        ).alias("at"),
-    ).select("conv_id", "conv", "entry", "at.window", "at.repeated")
-    grouped = shown.groupBy("conv", "window").agg(
-        F.first("conv_id", ignorenulls=True).alias("conv_id"),
-        F.collect_list(F.struct("entry.ordinal", "entry.role", "entry.text", "repeated")).alias("entries"),
-    )
-    retained = F.col("system").isNotNull() & (F.col("window") > F.col("system.window"))
-    held = F.exists("entries", lambda e: e["ordinal"] == F.col("system.ordinal"))
-    opening = F.array(F.struct("system.entry.ordinal", "system.entry.role", "system.entry.text", F.lit(True).alias("repeated")))
-    whole = lookup_join(grouped, system, "conv", "left").select(
-        "conv_id", "window",
-        F.array_sort(F.when(retained & ~held, F.concat(opening, "entries")).otherwise(F.col("entries"))).alias("entries"),
+        .agg(F.min(F.struct("ordinal", "window", "key")).alias("system"))
     )
-    return whole.mapInArrow(_format, WINDOWS_SCHEMA)
+    opening = lookup_join(ends.select("conv", "window"), system, "conv").where("window > system.window")
+    opening = opening.select("system.key", "conv", "system.ordinal", "window", F.lit(True).alias("repeated"))
+    # The system turn may also be among the turns repeated from the window before.
+    once = shown.unionByName(opening).groupBy("key", "conv", "ordinal", "window").agg(F.min("repeated").alias("repeated"))
+    whole = lookup_join(once, rows.select("key", "conv_id", "role", "text"), "key")
+    entries = F.array_sort(F.collect_list(F.struct("ordinal", "role", "text", "repeated"))).alias("entries")
+    grouped = whole.groupBy("conv", "window").agg(F.first("conv_id", ignorenulls=True).alias("conv_id"), entries)
+    return grouped.select("conv_id", "window", "entries").mapInArrow(_format, WINDOWS_SCHEMA)
 
 
 WINDOWS_SCHEMA = (

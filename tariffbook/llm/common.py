@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,5 +139,12 @@ def likely(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return found.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*(f"`{n}`" for n in names))
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system: its worker lives on for other stages and their caches."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

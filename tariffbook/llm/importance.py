@@ -14,8 +14,9 @@ all but ``PASSAGE_LOSS`` of their distinct worst passages, so that copies count
 once; sampled is by the lower of both above their level, and ``k`` is the number
 of documents that reach both, so the share kept follows the data.
 
-The target model and the level come from at most ``LABELLED`` labelled rows
-each, a uniform choice by a hash of the id; all else covers all documents.
+The good documents are parted by a hash of their id: the target model is fitted
+on at most ``LABELLED`` of one half, a uniform choice, and the levels are those
+of all documents of the other half; all else covers all documents.
 
 Defined cases: a null or empty text has the log ratio 0; repeated rows get the
 same numbers; of rows that tie with the k-th all stay; a null id counts as one
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffbook.llm import wordhash
-from tariffbook.llm.common import kth_largest, staged, text_or_empty
+from tariffbook.llm.common import kth_largest, release, staged, text_or_empty
+from tariffbook.operators.skew import lookup_join
 
 BUCKETS, LABELLED, LOSS, PRIOR = 1 << 14, 20_000, 0.005, 5.0
 WORDS, PASSAGE, WORD_PRIOR, PASSAGE_LOSS = 1 << 18, 16, 2.0, 0.01
@@ -64,13 +66,19 @@ def worst_passages(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return worst
 
 
-def labelled_ids(labels: DataFrame, docs: DataFrame) -> tuple[list[int], list[int]]:
-    """Ids of good documents that are there: to fit on, and to set the level on; at most ``LABELLED`` each."""
+def labelled(labels: DataFrame, docs: DataFrame) -> tuple[list[int], DataFrame]:
+    """Ids of good documents that are there, parted by a hash: at most ``LABELLED`` to fit on, and all others."""
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
     there = good.join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_semi")
-    rows = there.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(2 * LABELLED).collect()
-    ids = [r["doc_id"] for r in rows]
-    return ids[::2], ids[1::2]
+    hashed = there.withColumn("order", F.xxhash64("doc_id", F.lit("sample")))
+    fit = hashed.where("order % 2 = 0").orderBy("order", "doc_id").limit(LABELLED).collect()
+    return [r["doc_id"] for r in fit], hashed.where("order % 2 <> 0").select("doc_id")
+
+
+def lower_quantile(df: DataFrame, column: str, share: float) -> float | None:
+    """The exact quantile of a column, the lower of two values; None without any."""
+    n = df.where(F.col(column).isNotNull()).count()
+    return kth_largest(df, column, n - int(share * (n - 1))) if n else None
 
 
 def log_ratios(rows: DataFrame, fit: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,6 +127,7 @@ def score(rows: DataFrame, ratios: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 worst = worst_passages(alone[word], text_word, len(part))
                 columns = [part.column(0), *part.columns[2:], pa.array(sums), pa.array(worst)]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     names = [c for c in rows.columns if c != "text"] + ["log_ratio", "worst"]
     kinds = [f"{c} bigint" for c in names[:-2]] + ["log_ratio double", "worst double"]
@@ -130,24 +139,22 @@ def resample(
 ) -> DataFrame:
     """``doc_id, log_ratio, worst, sample_key, keep`` of every row, and as ``row`` the key of rows in the column named so."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    fit, held_out = labelled_ids(labels, rows)
+    fit, held_out = labelled(labels, rows)
     ratios = log_ratios(rows, fit) if fit else (np.zeros(BUCKETS), np.zeros(WORDS))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / F.lit(float(1 << 53))
     carried = [F.col(row).cast("bigint").alias("row")] if row else []
     scored = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"), *carried)
     scored = staged(score(scored, ratios), "importance")
-    level, lowest = 0.0, 0.0
-    if held_out:
-        spark = docs.sparkSession
-        held = spark.createDataFrame([(i,) for i in held_out], "doc_id bigint")
-        rows = scored.join(F.broadcast(held), "doc_id").select("log_ratio", "worst").limit(LABELLED).collect()
-        whole, worst = np.array(rows).T
-        level = float(np.quantile(whole, LOSS, method="lower"))
-        lowest = float(np.quantile(np.unique(worst), PASSAGE_LOSS, method="lower"))
+    # The levels are those of all held-out documents: one row for each id, whatever the order and number of its rows.
+    least = F.min("log_ratio").alias("log_ratio"), F.min("worst").alias("worst")
+    held = staged(lookup_join(scored, held_out, "doc_id").groupBy("doc_id").agg(*least), "held")
+    level = lower_quantile(held, "log_ratio", LOSS)
+    if level is None:
+        key = F.least("log_ratio", "worst") - F.log(-F.log(uniform))
+        return scored.withColumn("sample_key", key).withColumn("keep", F.lit(True))
+    lowest = lower_quantile(held.select("worst").distinct(), "worst", PASSAGE_LOSS)
     above = F.least(F.col("log_ratio") - F.lit(level), F.col("worst") - F.lit(lowest))
     scored = scored.withColumn("sample_key", above - F.log(-F.log(uniform)))
-    if not held_out:
-        return scored.withColumn("keep", F.lit(True))
     k = scored.where(above >= 0).count()
     cut = kth_largest(scored, "sample_key", k)
     return scored.withColumn("keep", F.col("sample_key") >= F.lit(cut))

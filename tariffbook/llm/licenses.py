@@ -3,17 +3,21 @@
 A text is read as segments: each line, each block of lines between blank ones,
 and the whole; where no such segment is like a template, also as runs of words
 within the size bound that begin and end with a bigram of the template, so that
-a notice inside a longer line is found. A segment's words are its runs of letters and digits in lower
+a notice inside a longer line is found. Of the templates that a segment is like,
+and of runs that overlap, the likest counts, so versions and variants of a notice
+are told apart. A segment's words are its runs of letters and digits in lower
 case; its bigrams are the set of its neighbouring words. The Dice coefficient is
 twice the shared bigrams over the sum of both counts, so for a coefficient of
 ``t`` the counts may differ by a factor of ``(2 - t) / t`` at most: only
-templates within that bound are compared. Hashes of all bigrams of a batch find
-the texts that share any bigram with any template; only those are read on.
+templates within that bound are compared, and only those that share bigrams, by a
+table of bigrams. Hashes of all bigrams of a batch find the texts that share as
+many bigrams with all templates as the shortest one needs; only those are read on.
 
-The templates are a fixed short list (a parameter), held by every task.
+The templates are a parameter, some ninety notices and short texts by default,
+held by every task.
 
 Defined cases: a null or empty text matches nothing, nor does a segment of less
-than two words; equal coefficients of a segment all count; repeated rows give
+than two words; of a segment all templates of the greatest coefficient count; repeated rows give
 repeated results; a null id is kept; an empty table gives an empty result;
 other columns of the input are not read.
 """
@@ -21,6 +25,7 @@ other columns of the input are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,33 +35,10 @@ from pyspark.sql import functions as F
 
 from tariffbook.llm import wordhash
 from tariffbook.llm.common import text_or_empty
+from tariffbook.llm.license_table import TEMPLATES
 
 THRESHOLD = 0.8
 SLICE = 1 << 12
-# The usual short notices of common licences.
-TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met:"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
-]
-
 WORD = re.compile(r"[^\W_]+")
 BLANK = re.compile(r"\n[^\S\n]*\n\s*")
 
@@ -70,22 +52,29 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
         self.threshold, self.ratio = threshold, (2 - threshold) / threshold
         self.templates = [(name, number, bigrams(body)) for number, (name, body) in enumerate(templates)]
-        self.known = frozenset().union(*(grams for *_, grams in self.templates))
+        self.where: dict[tuple[str, str], list[int]] = {}
+        for _, number, grams in self.templates:
+            for gram in grams:
+                self.where.setdefault(gram, []).append(number)
         most = max((len(grams) for *_, grams in self.templates), default=0)
+        least = min((len(grams) for *_, grams in self.templates if grams), default=1)
+        self.least = max(1, int(np.ceil(least / self.ratio - 1e-9)))  # bigrams that the shortest one needs
         self.most = int(most * self.ratio + 1e-9)
         flat = pa.array(sorted({f"{a} {b}" for *_, grams in self.templates for a, b in grams}), pa.string())
         hashes, text, _ = wordhash.words(flat)
         self.hashes = np.unique(wordhash.pairs(hashes, text)[0])
 
     def candidates(self, texts: pa.Array) -> np.ndarray:
-        """Numbers of the texts that share a bigram with a template, marks between the words aside."""
+        """Numbers of the texts that share enough bigrams with the templates, marks between the words aside."""
         hashes, text, start = wordhash.words(texts)
         data, _ = wordhash.buffers(texts)
         word = wordhash._KIND[data[start]] == 1 if len(start) else np.zeros(0, bool)
         two, of = wordhash.pairs(hashes[word], text[word])
         at = np.searchsorted(self.hashes, two)
-        hit = (at < len(self.hashes)) & (self.hashes[np.minimum(at, len(self.hashes) - 1)] == two) if len(self.hashes) else []
-        return np.unique(of[hit])
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        hit = self.hashes[np.minimum(at, len(self.hashes) - 1)] == two
+        return np.flatnonzero(np.bincount(of[hit], minlength=len(texts)) >= self.least)
 
     def segments(self, text: str) -> Iterator[tuple[int, str]]:
         start = 0
@@ -109,38 +98,47 @@ class Scanner:
             grams = bigrams(segment)
             if not grams or len(grams) > self.most:
                 continue
-            for name, number, other in self.templates:
+            shared = Counter(number for gram in grams for number in self.where.get(gram, ()))
+            like = []
+            for number, both in shared.items():
+                name, _, other = self.templates[number]
                 if max(len(grams), len(other)) <= self.ratio * min(len(grams), len(other)) + 1e-9:
-                    dice = 2 * len(grams & other) / (len(grams) + len(other))
-                    if dice >= self.threshold:
-                        found.add((name, number, start, len(segment), dice))
+                    like.append((2 * both / (len(grams) + len(other)), name, number))
+            best = max((dice for dice, *_ in like), default=0.0)
+            if best >= self.threshold:
+                found.update((name, number, start, len(segment), dice) for dice, name, number in like if dice == best)
         if self.most and text:
             found.update(self.inside(text, found))
         return sorted(found)
 
     def inside(self, text: str, found: set[tuple[str, int, int, int, float]]) -> Iterator[tuple[str, int, int, int, float]]:
-        """Runs of words that are like a template and meet no match of it in ``found``; of those that overlap the likest."""
+        """Runs of words that are like a template and overlap no match in ``found`` that is as like; of those that overlap the likest."""
         words = list(WORD.finditer(text))
         lowered = [m[0].lower() for m in words]
         pairs = list(zip(lowered, lowered[1:]))
-        known = [(at, pair) for at, pair in enumerate(pairs) if pair in self.known]
-        for name, number, grams in self.templates:
-            hits = [at for at, pair in known if pair in grams]
+        hits: dict[int, list[int]] = {}
+        for at, pair in enumerate(pairs):
+            for number in self.where.get(pair, ()):
+                hits.setdefault(number, []).append(at)
+        runs = []
+        for number, mine in hits.items():
+            name, _, grams = self.templates[number]
             need = max(1, int(np.ceil(len(grams) / self.ratio - 1e-9)))
             longest = int(len(grams) * self.ratio + 1e-9)
-            runs = []
-            for a in range(len(hits) - need + 1):
-                first = hits[a]
-                if hits[a + need - 1] - first >= longest:  # too few hits within the size bound
+            for a in range(len(mine) - need + 1):
+                first = mine[a]
+                if mine[a + need - 1] - first >= longest:  # too few hits within the size bound
                     continue
                 dice, end = self._best_run(pairs, first, first + longest, grams)
                 if dice >= self.threshold:
-                    runs.append((-dice, words[first].start(), words[end + 1].end()))
-            taken = [(at, at + length) for _, other, at, length, _ in found if other == number]
-            for dice, start, end in sorted(runs):
-                if all(end <= low or start >= high for low, high in taken):
-                    taken.append((start, end))
-                    yield name, number, start, end - start, -dice
+                    runs.append((-dice, words[first].start(), words[end + 1].end(), number, name))
+        taken = [(at, at + length, dice, number) for _, number, at, length, dice in found]
+        for less, start, end, number, name in sorted(runs):
+            meets = [(dice, other) for low, high, dice, other in taken if start < high and end > low]
+            same = (start, end, -less) in {(low, high, dice) for low, high, dice, _ in taken[len(found) :]}
+            if all(dice < -less and other != number for dice, other in meets) or (same and number not in {o for _, o in meets}):
+                taken.append((start, end, -less, number))
+                yield name, number, start, end - start, -less
 
     @staticmethod
     def _best_run(pairs: list[tuple[str, str]], first: int, stop: int, grams: frozenset) -> tuple[float, int]:

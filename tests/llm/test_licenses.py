@@ -1,0 +1,79 @@
+"""Licences told apart, and runs inside lines against all runs of words."""
+
+import random
+
+import pytest
+
+from tariffbook.llm import licenses
+from tariffbook.llm.license_table import TEMPLATES
+
+SCANNER = licenses.Scanner(TEMPLATES, licenses.THRESHOLD)
+
+
+def names(text):
+    return {m[0] for m in SCANNER.matches(text)}
+
+
+@pytest.mark.parametrize("number", range(len(TEMPLATES)))
+def test_each_notice_is_its_own(number):
+    name, body = TEMPLATES[number]
+    assert names(f"Copyright 2020 somebody\n\n{body.upper()}\n\nint main") == {name}
+
+
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+         "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License version 2.1.", "LGPL-2.1"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3", "AGPL-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+        ("Licensed under CC BY-ND 2.0", "CC-BY-ND-2.0"),
+        ("Released under the ISC License", "ISC"),
+    ],
+)
+def test_versions_and_variants(text, name):
+    assert names(text) == {name}
+    noise = "lorem ipsum dolor sit amet consectetur " * 30
+    assert names(f"{noise}{text} {noise}") == {name}
+
+
+def test_full_texts_tell_the_clauses():
+    full = dict(t for t in TEMPLATES if t[0] == "BSD-2-Clause")["BSD-2-Clause"]
+    at = full.index("1."), full.index("2."), full.index("THIS SOFTWARE")
+    lines = [full[: at[0]], full[at[0] : at[1]], full[at[1] : at[2]], full[at[2] :]]
+    found = SCANNER.matches("\n".join(lines))
+    assert {m[0] for m in found} == {"BSD", "BSD-2-Clause"}  # the grant line, and the block
+
+
+def test_runs_against_all_runs():
+    """The likest run of words of a line, by brute force, is what the scanner reports."""
+    table = [("a", "one two three four five six"), ("b", "one two three four six seven"), ("c", "red green blue black")]
+    scanner, pick = licenses.Scanner(table, 0.8), random.Random(4)
+    words = sorted({w for _, t in table for w in t.split()}) + ["x", "y"]
+    hits = 0
+    for _ in range(400):
+        text = [pick.choice(words) for _ in range(pick.randrange(30))]
+        if pick.random() < 0.8:
+            body = pick.choice(table)[1].split()
+            body[pick.randrange(len(body))] = pick.choice(words)
+            at = pick.randrange(len(text) + 1)
+            text[at:at] = body
+        best = 0.0
+        for i in range(len(text)):
+            for j in range(i + 2, min(len(text), i + 14) + 1):
+                grams = licenses.bigrams(" ".join(text[i:j]))
+                for _, template in table:
+                    other = licenses.bigrams(template)
+                    if max(len(grams), len(other)) <= scanner.ratio * min(len(grams), len(other)) + 1e-9:
+                        best = max(best, 2 * len(grams & other) / (len(grams) + len(other)))
+        found = scanner.matches(" ".join(text))
+        assert bool(found) == (best >= 0.8)
+        if found:
+            hits += 1
+            assert max(m[4] for m in found) <= best
+            if all(m[3] < len(" ".join(text)) for m in found):  # the line as a whole is like none
+                assert max(m[4] for m in found) == best
+    assert hits > 100

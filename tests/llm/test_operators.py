@@ -402,3 +402,18 @@ def test_candidates_are_those_of_brute_force_cosines(spark):
                         wanted.add((doc, i, first + low))
     assert len(wanted) > 40
     assert len(wanted & found) >= 0.9 * len(wanted)
+
+
+def test_windows_keep_to_their_budget_of_tokens(spark):
+    """Real tokens: new turns of a window come to less than two cells, but for a single longer turn."""
+    rng, tokenizer = np.random.default_rng(8), Tokenizer.from_file(BYTE)
+    rows = [(c, t, ("user", "assistant")[t % 2], "wörd naïve 東京 " * int(rng.integers(0, 60))) for c in range(4) for t in range(60)]
+    rows += [(9, 0, "system", "be brief"), (9, 1, "user", "x y z " * 900), (9, 2, "assistant", "short")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for r in chat.windows(turns, BYTE).collect():
+        pieces = [p + chat.END for p in r["text"].split(chat.END)[:-1]]
+        sizes = [len(tokenizer.encode(p, add_special_tokens=False).ids) for p in pieces]
+        new, repeated = sizes[r["n_repeated"] :], sizes[: r["n_repeated"]]
+        assert new
+        assert sum(new) < 2 * chat.CELL or len(new) == 1
+        assert sum(repeated) <= chat.HISTORY + sizes[0]
