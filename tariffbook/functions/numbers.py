@@ -41,7 +41,12 @@ def mean_2dp(c: Column) -> Column:
     division: ``(sum + n / 200) div (n / 100)``. The sum's type leaves room for
     the half, or the addition would give up a decimal.
     """
-    total, n = F.sum(c).try_cast("decimal(37,10)"), F.count(c)
+    return ratio_2dp(F.sum(c), F.count(c))
+
+
+def ratio_2dp(total: Column, n: Column) -> Column:
+    """The mean of ``n`` values from their exact sum, as ``mean_2dp`` rounds it; null for none."""
+    total = total.try_cast("decimal(37,10)")
     half, unit = n * F.lit(Decimal("0.005")), F.nullif(n * F.lit(Decimal("0.01")), F.lit(Decimal("0.00")))
     hundredths = F.call_function("div", F.abs(total) + half, unit)
     return (F.signum(total.cast("double")) * hundredths / F.lit(100.0)).cast("double")

@@ -345,6 +345,7 @@ _QUERIES = {
         for table in _INPUT_TABLES
     ),
 }
+_QUERIES["monthly_revenue_merged"] = _QUERIES["monthly_revenue"]
 _QUERIES["scd_price_resolution_bucketed"] = _QUERIES["scd_price_resolution"]
 
 
