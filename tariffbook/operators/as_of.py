@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariffbook.operators.coverage import swept
+from tariffbook.operators.skew import shuffled
 
 
 def versions_on(days: DataFrame, history: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def versions_on(days: DataFrame, history: DataFrame) -> DataFrame:
     none = F.lit(None).cast(versions.schema["_version"].dataType).alias("_version")
     both = versions.withColumn("_asked", F.lit(False)).unionByName(asked.select("*", none, F.lit(True).alias("_asked")))
     here = Window.partitionBy("plan_id", "_bucket").orderBy("_day", "_asked")
-    held = both.join(carried, ["plan_id", "_bucket"]).withColumn(
+    held = both.join(shuffled(carried), ["plan_id", "_bucket"]).withColumn(
         "_held", F.coalesce(F.last("_version", ignorenulls=True).over(here), "_carried")
     )
     valid = F.col("_day") <= F.col("_held.end")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tariffbook.operators.plans import plan_summary
 from tariffbook.operators.pricing import bucket_of, bucket_rule
-from tariffbook.operators.skew import lookup_join
+from tariffbook.operators.skew import lookup_join, shuffled
 
 
 def matchable(history: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def matchable(history: DataFrame) -> DataFrame:
 
 def bucketed(history: DataFrame) -> DataFrame:
     """Matchable versions once each, with the bucket of their effective date."""
-    spans = lookup_join(matchable(history), bucket_rule(plan_summary(history)).drop("current_price"), "plan_id")
+    rule = bucket_rule(plan_summary(history)).drop("current_price")
+    spans = lookup_join(matchable(history), shuffled(rule), "plan_id")
     bucket = bucket_of(F.col("effective_date")).alias("_bucket")
     return spans.select(*history.columns, bucket)
 
@@ -38,7 +39,7 @@ def swept(history: DataFrame) -> DataFrame:
         Window.partitionBy("plan_id", "_bucket").orderBy("effective_date", "end_date", "price_per_month", "plan_tier")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    known = versions.join(carried, ["plan_id", "_bucket"])
+    known = versions.join(shuffled(carried), ["plan_id", "_bucket"])
     return known.withColumn("covered_to", F.greatest("_carried", F.max("end_date").over(here))).drop("_carried")
 
 
@@ -59,4 +60,4 @@ def gaps_and_overlaps(history: DataFrame) -> DataFrame:
 def without_overlaps(history: DataFrame) -> DataFrame:
     """The versions of plans of which no two cover the same day."""
     twice = gaps_and_overlaps(history).filter("kind = 'overlap'").select("plan_id").distinct()
-    return lookup_join(history, twice, "plan_id", "left_anti").select(*history.columns)
+    return lookup_join(history, shuffled(twice), "plan_id", "left_anti").select(*history.columns)

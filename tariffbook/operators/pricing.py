@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffbook.operators.plans import plan_summary
-from tariffbook.operators.skew import lookup_join
+from tariffbook.operators.skew import lookup_join, shuffled
 
 # Fixed value: no bucket is shorter, however densely a plan's prices change.
 LEAST_BUCKET_DAYS = 30
@@ -38,7 +38,7 @@ def _bucketed_versions(history: DataFrame, summary: DataFrame) -> DataFrame:
     """
     matchable = history.filter(F.col("effective_date") <= F.col("end_date"))
     rule = bucket_rule(summary).drop("current_price")
-    spans = lookup_join(matchable, rule, "plan_id")
+    spans = lookup_join(matchable, shuffled(rule), "plan_id")
     buckets = F.sequence(bucket_of(F.col("effective_date")), bucket_of(F.col("end_date")))
     return spans.select(
         "plan_id",
@@ -79,13 +79,13 @@ def resolve_prices(
     of a plan, and fails where it meets an overlap. ``bucketed`` joins on plan and bucket, so a plan with a large share of all
     versions and subscriptions is spread over its buckets, and no row is compared
     with more versions than touch its bucket. ``plain`` joins on the plan alone, for histories known to have few versions per plan.
-    Neither forces a broadcast: Spark does that where the measured size allows.
+    History and plans are never broadcast, as their size is not known before they are made.
     """
     summary = plan_summary(history)
     if strategy not in ("bucketed", "as_of", "plain"):
         raise ValueError(f"unknown strategy: {strategy!r}")
     looked_up = summary.select("plan_id", "current_price") if strategy == "plain" else bucket_rule(summary)
-    with_plan = lookup_join(fact, looked_up, "plan_id", "inner" if known_plans_only else "left")
+    with_plan = lookup_join(fact, shuffled(looked_up), "plan_id", "inner" if known_plans_only else "left")
     day = F.col(at)
     if strategy == "as_of":
         from tariffbook.operators.as_of import versions_on
@@ -100,7 +100,7 @@ def resolve_prices(
         versions, keys = _bucketed_versions(history, summary), ["plan_id", "_bucket"]
     else:
         keyed, versions, keys = with_plan, _plain_versions(history), ["plan_id"]
-    left, right = keyed.alias("fact"), versions.alias("version")
+    left, right = keyed.alias("fact"), shuffled(versions).alias("version")
     same_key = [F.col(f"fact.{k}") == F.col(f"version.{k}") for k in keys]
     joined = left.join(right, [*same_key, valid], "left")
     return joined.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tariffbook.functions.numbers import money, not_negative
 from tariffbook.functions.text import is_blank, is_valid_email
 from tariffbook.operators.plans import plan_keys
-from tariffbook.operators.skew import lookup_join
+from tariffbook.operators.skew import lookup_join, shuffled
 
 
 def _outcome(id_column: str, rule: Column, rows: int = 1) -> list[Column]:
@@ -60,7 +60,7 @@ _SUBSCRIPTION_RULE = ("_known_subscriber", "_known_plan", "status")
 
 def _subscription_outcomes(raw: DataFrame, subscribers: DataFrame, history: DataFrame) -> DataFrame:
     marked = lookup_join(
-        _with_marks(raw, subscribers), _marked(plan_keys(history), "_known_plan"), "plan_id", "left"
+        _with_marks(raw, subscribers), shuffled(_marked(plan_keys(history), "_known_plan")), "plan_id", "left"
     )
     rule = _subscription_rule(*(F.col(c) for c in _SUBSCRIPTION_RULE))
     return marked.select(*_outcome("subscription_id", rule)).filter(F.col("rule").isNotNull())
@@ -73,7 +73,7 @@ def _subscription_totals(raw: DataFrame, subscribers: DataFrame, history: DataFr
         .groupBy("_known_subscriber", "plan_id", "status")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    marked = per_plan.join(_marked(plan_keys(history), "_known_plan"), "plan_id", "left")
+    marked = per_plan.join(shuffled(_marked(plan_keys(history), "_known_plan")), "plan_id", "left")
     rule = _subscription_rule(*(F.col(c) for c in _SUBSCRIPTION_RULE))
     return marked.select(rule.alias("rule"), "rows").filter(F.col("rule").isNotNull())
 

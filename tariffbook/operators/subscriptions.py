@@ -9,7 +9,7 @@ from tariffbook.functions.dates import parse_date
 from tariffbook.functions.numbers import charge_or_zero, rating
 from tariffbook.functions.text import normalise_country
 from tariffbook.operators.plans import plan_keys
-from tariffbook.operators.skew import lookup_join
+from tariffbook.operators.skew import lookup_join, shuffled
 
 
 def fill_monthly_charge(raw: DataFrame) -> DataFrame:
@@ -42,11 +42,11 @@ def with_known_subscriber(df: DataFrame, subscribers: DataFrame) -> DataFrame:
 
 
 def orphan_plans(df: DataFrame, history: DataFrame) -> DataFrame:
-    return lookup_join(df, plan_keys(history), "plan_id", "left_anti")
+    return lookup_join(df, shuffled(plan_keys(history)), "plan_id", "left_anti")
 
 
 def with_known_plan(df: DataFrame, history: DataFrame) -> DataFrame:
-    return lookup_join(df, plan_keys(history), "plan_id", "left_semi")
+    return lookup_join(df, shuffled(plan_keys(history)), "plan_id", "left_semi")
 
 
 def normalise_billing_country(df: DataFrame) -> DataFrame:

@@ -1,0 +1,19 @@
+"""What grows with the tables stays out of the driver and of single tasks."""
+
+import pytest
+
+from tariffbook.plans import catalogue
+
+SF_DIR = "/root/testdata/sf0.001"
+PRICED = [
+    "enriched_subscriptions", "price_variance", "stage_row_counts", "total_subscriptions", "price_gaps_and_overlaps",
+    "scd_price_as_of", "scd_price_resolution", "subscriber_summary", "orphan_plans", "valid_plan_semi", "rejects_by_rule",
+]
+
+
+@pytest.mark.parametrize("name", PRICED)
+def test_versions_and_plans_are_not_broadcast(spark, name):
+    """At Spark's own threshold: the files of these tables are far below it, the versions made of them need not be."""
+    plan = catalogue.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [plan_id" not in plan
+    assert "SortMergeJoin [plan_id" in plan
