@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Run date for these tables: after the last order.
 AS_OF = date(2002, 1, 1)
 
+# Parts whose versions one task makes: 160,000 versions.
+PARTS_A_TASK = 10_000
+
 # Columns in use; a given schema spares a footer read per table.
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int",
@@ -70,29 +73,32 @@ def raw_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One version a year per part (1995 to 2001), dates written in two formats by turns.
 
+    The parts are dealt to tasks by their number, which the file's footer tells:
+    a row of 20 bytes becomes 16 versions, so a split of the file is far too much for one.
+
     Every fortieth part has a version a week instead. Of these, some run into
     the next week, some end before they start, some have an unreadable end.
     """
-    versions = table(spark, sf_dir, "part").selectExpr(
-        "*", "p_partkey % 40 = 3 AS weekly", "explode(sequence(0, if(p_partkey % 40 = 3, 364, 6))) AS k"
-    )
-    dated = versions.selectExpr("*", "date_add(DATE '1995-01-01', 7 * k) AS week")
-    cents = "(cast(round(p_retailprice * 100) AS bigint) + 100 * k)"
-    return dated.selectExpr(
-        """CASE WHEN (p_partkey + k) % 97 = 0 THEN null WHEN (p_partkey + k) % 101 = 0 THEN '  '
-            ELSE cast(p_partkey AS string) END AS plan_id""",
-        "p_type AS plan_tier",
-        f"""CASE WHEN (p_partkey + k) % 31 = 0 THEN null WHEN (p_partkey + k) % 17 = 0 THEN '-5.00'
+    parts = table(spark, sf_dir, "part")
+    dealt = parts.repartition(max(1, -(-parts.count() // PARTS_A_TASK))).selectExpr("*", "p_partkey % 40 = 3 AS weekly")
+    week, cents = "date_add(DATE '1995-01-01', 7 * k)", "(cast(round(p_retailprice * 100) AS bigint) + 100 * k)"
+    # Made by the generator, a text is a column; as an expression it would stand in every use of it in filters and parsers.
+    version = f"""named_struct(
+        'plan_id', CASE WHEN (p_partkey + k) % 97 = 0 THEN null WHEN (p_partkey + k) % 101 = 0 THEN '  '
+            ELSE cast(p_partkey AS string) END,
+        'price_per_month', CASE WHEN (p_partkey + k) % 31 = 0 THEN null WHEN (p_partkey + k) % 17 = 0 THEN '-5.00'
             WHEN (p_partkey + k) % 37 = 0 THEN '-0.00001' WHEN (p_partkey + k) % 41 = 0 THEN 'on request'
-            WHEN (p_partkey + k) % 43 = 0 THEN '' ELSE {_amount(cents)} END AS price_per_month""",
-        """CASE WHEN weekly THEN cast(week AS string)
-            WHEN k % 2 = 0 THEN concat('1/1/', 1995 + k) ELSE concat(1995 + k, '-01-01') END AS effective_date""",
-        """CASE WHEN weekly THEN CASE WHEN k = 364 THEN null WHEN k % 10 = 3 THEN cast(date_add(week, 10) AS string)
-                WHEN k % 10 = 6 THEN cast(date_add(week, -3) AS string) WHEN k % 10 = 9 THEN 'open'
-                ELSE cast(date_add(week, 6) AS string) END
+            WHEN (p_partkey + k) % 43 = 0 THEN '' ELSE {_amount(cents)} END,
+        'effective_date', CASE WHEN weekly THEN cast({week} AS string)
+            WHEN k % 2 = 0 THEN concat('1/1/', 1995 + k) ELSE concat(1995 + k, '-01-01') END,
+        'end_date', CASE WHEN weekly THEN CASE WHEN k = 364 THEN null
+                WHEN k % 10 = 3 THEN cast(date_add({week}, 10) AS string)
+                WHEN k % 10 = 6 THEN cast(date_add({week}, -3) AS string) WHEN k % 10 = 9 THEN 'open'
+                ELSE cast(date_add({week}, 6) AS string) END
             WHEN k = 6 THEN null WHEN k % 2 = 0 THEN concat('12/31/', 1995 + k)
-            ELSE concat(1995 + k, '-12-31') END AS end_date""",
-    )
+            ELSE concat(1995 + k, '-12-31') END)"""
+    versions = dealt.selectExpr("p_type", f"inline(transform(sequence(0, if(weekly, 364, 6)), k -> {version}))")
+    return versions.selectExpr("plan_id", "p_type AS plan_tier", "price_per_month", "effective_date", "end_date")
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """What grows with the tables stays out of the driver and of single tasks."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from tariffbook.operators import coverage
 from tariffbook.plans import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,3 +19,25 @@ def test_versions_and_plans_are_not_broadcast(spark, name):
     plan = catalogue.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [plan_id" not in plan
     assert "SortMergeJoin [plan_id" in plan
+
+
+@pytest.fixture
+def many_parts(spark, tmp_path):
+    parts = spark.range(25_000).selectExpr("id + 1 AS p_partkey", "'T' AS p_type", "900.0D + id % 200 AS p_retailprice")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_versions_are_made_by_as_many_tasks_as_the_parts_need(spark, many_parts):
+    raw = catalogue.Tables(spark, many_parts).raw_plans
+    made = [r["count"] for r in raw.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 25_000 * 7 + 625 * 358
+    assert len(made) == 3 and max(made) < 200_000
+
+
+def test_texts_are_made_once(spark):
+    """A filter on parsed dates holds no copies of the expressions that made their texts."""
+    versions = coverage.matchable(catalogue.Tables(spark, SF_DIR).history)
+    plan = versions._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "Filter" in line and "p_partkey" in line]
+    assert "inline(" in plan and not made
