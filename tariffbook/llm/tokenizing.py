@@ -29,6 +29,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+SHOWN_SPACE = BYTE_LETTERS[ord(" ")]
+
+
+def _shown(text: str) -> str:
+    return text.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
 class _Table(dict):
@@ -61,10 +66,11 @@ class JsonEncoder:
         if self.size > np.iinfo(dtype).max + 1:
             raise ValueError(f"{self.size} ids do not fit {dtype}")
         self.code = {"<u2": "H", "<u4": "I"}[dtype]
-        self.cores = _Table(self._core, limit=LIMIT // 2)
-        self.words = _Table(self._word)
-        self.spaced = _Table(lambda word: self._part(" ", word))
-        self.bare = _Table(lambda word: self._part("", word))
+        self.model = self.tokenizer.model
+        # The letters of a word with marks are looked up as a word of their own, so a table holds both.
+        self.words = _Table(self._word, limit=LIMIT * 3 // 2)
+        self.spaced = _Table(lambda word: self._part(" ", word, self.spaced), limit=LIMIT * 3 // 2)
+        self.bare = _Table(lambda word: self._part("", word, self.bare))
         self.newline = self.whole("\n") if kind == "byte" else b""
 
     def pack(self, ids) -> bytes:
@@ -73,23 +79,30 @@ class JsonEncoder:
     def whole(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _core(self, pre_token: str) -> bytes:
-        shown = pre_token.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return self.pack([t.id for t in self.tokenizer.model.tokenize(shown)])
+    def _letters(self, shown: str) -> bytes:
+        """Ids of one pre-token, written as byte-level vocabularies do."""
+        return array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _word(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return self._letters(chunk)
         plain = PLAIN.fullmatch(chunk)
         if not plain:
             return self.whole(chunk)
         letters, marks = plain.groups()
-        return self.cores[letters.lower()] + (self.words[marks] if marks else b"")
-
-    def _part(self, space: str, chunk: str) -> bytes:
+        lower = letters.lower()
+        if lower != chunk:
+            return self.words[lower] + (self.words[marks] if marks else b"")
+        return self._letters(_shown(chunk))
+
+    def _part(self, space: str, chunk: str, table: _Table) -> bytes:
+        if chunk.isascii() and chunk.isalpha():  # bytes that are written as themselves
+            return self._letters(SHOWN_SPACE + chunk if space else chunk)
         plain = PLAIN.fullmatch(chunk)
         if not plain:
             return self.whole(space + chunk)
         letters, marks = plain.groups()
-        return self.cores[space + letters] + (self.bare[marks] if marks else b"")
+        return table[letters] + self.bare[marks] if marks else self._letters(_shown(space + chunk))
 
     def encode(self, text: str) -> bytes:
         if self.kind == "word" and not ODD_SEPARATORS.search(text):
