@@ -98,6 +98,7 @@ def log_ratios(rows: DataFrame, fit: list[int]) -> tuple[np.ndarray, np.ndarray]
                 ids = part.column(0)
                 chosen = np.isin(ids.fill_null(0).to_numpy(), wanted.value) & ids.is_valid().to_numpy(zero_copy_only=False)
                 target += np.bincount(bucket[chosen[text]], minlength=size)
+        release()
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"bucket": used, "raw": raw[used], "target": target[used]})
 

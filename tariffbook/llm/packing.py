@@ -28,10 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffbook.llm.common import text_or_empty
+from tariffbook.llm.common import release, text_or_empty
 from tariffbook.llm.tokenizing import json_encoder
 
 CAPACITY, MAX_OPEN, ID_BYTES = 2048, 4096, 4
+SLICE, GIVEN = 256, 256  # documents worked on, and windows given, at a time
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 ARROW = pa.schema(
     [(name, pa.binary() if name == "ids" else pa.int64()) for name in (c.split()[0] for c in SCHEMA.split(", "))]
@@ -137,13 +138,17 @@ def pack(
 
         full = []
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.encode(value) + end
-                full += packer.add(Piece(key, 0, ids, len(ids) // ID_BYTES))
-                if len(full) >= 1024:
-                    yield table(full)
-                    full = []
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                for key, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = encoder.encode(value) + end
+                    full += packer.add(Piece(key, 0, ids, len(ids) // ID_BYTES))
+                    if len(full) >= GIVEN:
+                        yield table(full)
+                        full = []
         yield table(full + packer.close())
+        encoder.trim()
+        release()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     return rows.mapInArrow(run, SCHEMA)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffbook.llm.common import staged, text_or_empty
+from tariffbook.llm.common import release, staged, text_or_empty
 from tariffbook.llm.components import components
 from tariffbook.operators.skew import lookup_join
 
@@ -64,8 +64,10 @@ def simhash(text: bytes, n: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, n: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([simhash(t, n) for t in batch.column(1).cast(pa.binary()).to_pylist()], pa.int64())
+            texts = batch.column(1).cast(pa.binary())
+            made = pa.array([simhash(t.as_py(), n) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), made], ["doc_id", "fp"])
+        release()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, fp bigint")

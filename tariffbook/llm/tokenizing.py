@@ -11,10 +11,12 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 LIMIT = 500_000  # entries of a cache, some 90 MB; when it is full, the first met quarter stays, which has the common ones
+KEPT = 50_000  # entries that stay between tasks, where a task gives the others back
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"([{LETTERS}]+)([!-&(-/:-@[-`{{-~]*)")
 ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -45,11 +47,17 @@ class _Table(dict):
 
     def __missing__(self, key):
         if len(self) >= self.limit:
-            for old in list(self)[self.kept :]:
-                del self[old]
+            self.trim(self.kept)
         value = self[key] = self.make(key)
         return value
 
+    def trim(self, kept: int) -> None:
+        """Keeps the first met entries, in a table of their size."""
+        if len(self) > kept:
+            first = dict(islice(self.items(), kept))
+            self.clear()
+            self.update(first)
+
 
 class JsonEncoder:
     """A tokenizers file. ``kind``: ``word`` (white space dropped), ``byte`` (byte-level, white space kept) or ``whole``.
@@ -104,6 +112,11 @@ class JsonEncoder:
         letters, marks = plain.groups()
         return table[letters] + self.bare[marks] if marks else self._letters(_shown(space + chunk))
 
+    def trim(self, kept: int = KEPT) -> None:
+        """Gives the memory of most entries back: a worker lives on, and other stages need it."""
+        for table in (self.words, self.spaced, self.bare):
+            table.trim(kept)
+
     def encode(self, text: str) -> bytes:
         if self.kind == "word" and not ODD_SEPARATORS.search(text):
             return b"".join(map(self.words.__getitem__, text.split()))

@@ -1,13 +1,17 @@
 """Encoding by tables of words gives the ids of the library, from one entry for each word."""
 
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tariffbook.llm.tokenizing import JsonEncoder
+from tariffbook.llm import packing
+from tariffbook.llm.tokenizing import KEPT, JsonEncoder, json_encoder
 
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
 WORDS = ["tariff", "Tariff", "ÉTÉ", "été", "naïve", "x", "ÿ", "µ", "ª", "ß", "don't", "a1", "3,5", "--", "日本", "I", "İ", "ſ", "é"]
@@ -38,3 +42,33 @@ def test_a_word_has_one_entry_with_marks_and_without():
     encoder.encode("the tariff the Tariff! the tariff...\nÉté! book? book")
     assert made == []
     assert {"tariff", "tariff,", "Tariff"} <= encoder.spaced.keys() and "Été" in encoder.bare
+
+
+def test_trimmed_tables_give_the_same_ids():
+    encoder = JsonEncoder(public_tokenizers.path(FILES["word"]), "word")
+    texts = [f"word{k} Some-Thing{k % 7} älter{k}." for k in range(300)]
+    before = [encoder.encode(t) for t in texts]
+    first = next(iter(encoder.words))
+    assert len(encoder.words) > 300
+    encoder.trim(100)
+    assert len(encoder.words) == 100 and next(iter(encoder.words)) == first
+    assert [encoder.encode(t) for t in texts] == before
+
+
+def test_packing_holds_few_texts_and_gives_its_words_back(spark, monkeypatch):
+    """A worker lives on, and an executor's memory is for all stages."""
+    path, docs = public_tokenizers.path(FILES["word"]), spark.createDataFrame([], "doc_id bigint, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run, encoder = packing.pack(docs, path), json_encoder(path, "word")
+    words = " ".join(f"w{k}" for k in range(KEPT + 1000))
+    long = " ".join(["ab" * 500] * 10)
+    many = pa.RecordBatch.from_pydict({"doc_id": range(4000), "text": [long] * 4000})  # 40 MB
+    sum(len(out) for out in run(iter([many.slice(0, 1)])))
+    tracemalloc.start()
+    assert sum(sum(out["length"].to_pylist()) for out in run(iter([many]))) == 4000 * len(encoder.encode(long) + b"1234") // 4
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    list(run(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [words]})])))
+    assert 0 < len(encoder.words) <= KEPT
