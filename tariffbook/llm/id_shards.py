@@ -199,9 +199,9 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, kind)
-        for batch in _slices(batches, 512):
+        for batch in _slices(batches, 2048):
             shard = pa.array(ranges.number(batch.column(0), batch.column(2).to_numpy()), pa.int64())
-            ids = pa.array([encoder.encode(t) + end for t in batch.column(1).to_pylist()], pa.binary())
+            ids = encoder.encode_all(batch.column(1), end)
             yield pa.RecordBatch.from_arrays([shard, batch.column(0), batch.column(2), ids], ["shard", "doc_id", "hash", "ids"])
 
     (

@@ -14,13 +14,19 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 LIMIT = 500_000  # entries of a cache, some 90 MB; when it is full, the first met quarter stays, which has the common ones
 KEPT = 50_000  # entries that stay between tasks, where a task gives the others back
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"([{LETTERS}]+)([!-&(-/:-@[-`{{-~]*)")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
+BEGIN, END = "\x02", "\x03"  # stand before the first word and after the last where many texts are encoded at once
 DOUBLE_SPACE = re.compile(r"\s\s")
+ODD = rf"[\s\x0b\x1c-\x1f\x{{85}}\pZ]{{2}}|[{BEGIN}{END}]"  # DOUBLE_SPACE for Arrow, and the signs above
+LONG = 1 << 24  # bytes; a longer text is encoded on its own, and no more than these are cut at a time
 
 
 def _byte_letters() -> dict[int, str]:
@@ -77,7 +83,7 @@ class JsonEncoder:
         self.model = self.tokenizer.model
         # The letters of a word with marks are looked up as a word of their own, so a table holds both.
         self.words = _Table(self._word, limit=LIMIT * 3 // 2)
-        self.spaced = _Table(lambda word: self._part(" ", word, self.spaced), limit=LIMIT * 3 // 2)
+        self.spaced = _Table(self._spaced, limit=LIMIT * 3 // 2)
         self.bare = _Table(lambda word: self._part("", word, self.bare))
         self.newline = self.whole("\n") if kind == "byte" else b""
 
@@ -103,8 +109,20 @@ class JsonEncoder:
             return self.words[lower] + (self.words[marks] if marks else b"")
         return self._letters(_shown(chunk))
 
+    def _spaced(self, chunk: str) -> bytes:
+        """Ids of a word after a space, or of what ``encode_all`` cuts at the begin of a text or line."""
+        letters = chunk.rstrip(MARKS)
+        if letters.isalpha() and letters.isascii():  # bytes that are written as themselves
+            if len(letters) < len(chunk):
+                return self.spaced[letters] + self.bare[chunk[len(letters) :]]
+            return self._letters(SHOWN_SPACE + chunk)
+        first = chunk[:1]
+        if first == "\n" or first == BEGIN:
+            return (self.newline if first == "\n" else b"") + self.bare[chunk[1:]]
+        return self._part(" ", chunk, self.spaced)
+
     def _part(self, space: str, chunk: str, table: _Table) -> bytes:
-        if chunk.isascii() and chunk.isalpha():  # bytes that are written as themselves
+        if chunk.isascii() and chunk.isalpha():
             return self._letters(SHOWN_SPACE + chunk if space else chunk)
         plain = PLAIN.fullmatch(chunk)
         if not plain:
@@ -117,10 +135,35 @@ class JsonEncoder:
         for table in (self.words, self.spaced, self.bare):
             table.trim(kept)
 
+    def encode_all(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """``encode`` of each text, with ``end`` after it: Arrow cuts the words and puts the ids together, each different word is looked up once."""
+        if self.kind != "byte":
+            return pa.array([self.encode(t) + end for t in texts.to_pylist()], pa.binary())
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        odd = [pc.match_substring_regex(texts, ODD), *(pc.match_substring(texts, s) for s in self.special)]
+        alone = np.logical_or.reduce([size > LONG, *(o.to_numpy(zero_copy_only=False) for o in odd)])
+        if alone.any():
+            order = np.argsort(np.argsort(alone, kind="stable"))
+            others = [self.encode(t) + end for t in texts.filter(pa.array(alone)).to_pylist()]
+            together = self.encode_all(texts.filter(pa.array(~alone)), end)
+            return pa.concat_arrays([together, pa.array(others, pa.binary())]).take(pa.array(order))
+        if len(texts) > 1 and size.sum() > LONG:
+            half = len(texts) // 2
+            return pa.concat_arrays([self.encode_all(texts[:half], end), self.encode_all(texts[half:], end)])
+        lines = pc.replace_substring(texts, "\n", " \n")
+        cut = pc.split_pattern(pc.binary_join_element_wise(BEGIN, lines, f" {END}", ""), " ")
+        words = cut.values.dictionary_encode()
+        ids = [self.spaced[word] if word != END else end for word in words.dictionary.to_numpy(zero_copy_only=False)]
+        # The ids of all words side by side: those of a text lie from where its first word begins to where its last ends.
+        joined = pa.array(ids, pa.binary()).take(words.indices)
+        at = np.append(0, np.cumsum(pc.binary_length(joined).to_numpy())).astype(np.int32)
+        bounds = at[cut.offsets.to_numpy()]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds), joined.buffers()[2]])
+
     def encode(self, text: str) -> bytes:
         if self.kind == "word" and not ODD_SEPARATORS.search(text):
             return b"".join(map(self.words.__getitem__, text.split()))
-        if self.kind == "byte" and not DOUBLE_SPACE.search(text) and not any(s in text for s in self.special):
+        if self.kind == "byte" and not DOUBLE_SPACE.search(text) and not any(s in text for s in (BEGIN, *self.special)):
             parts = []
             for line in text.split("\n"):
                 words = line.split(" ")

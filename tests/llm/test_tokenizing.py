@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tariffbook.llm import packing
+from tariffbook.llm import packing, tokenizing
 from tariffbook.llm.tokenizing import KEPT, JsonEncoder, json_encoder
 
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
@@ -34,6 +34,30 @@ def test_ids_are_those_of_the_library(kind):
         assert np.frombuffer(encoder.encode(text(seed)), "<u2").tolist() == expected, text(seed)
 
 
+@pytest.mark.parametrize("limit", [1 << 24, 60])
+def test_many_texts_at_once_have_the_ids_of_the_library(monkeypatch, limit):
+    """Texts that are cut together, those that are encoded on their own, and both in one go, in the given order."""
+    monkeypatch.setattr(tokenizing, "LONG", limit)
+    path = public_tokenizers.path(FILES["byte"])
+    whole, encoder = Tokenizer.from_file(path), JsonEncoder(path, "byte", "<u2")
+    odd = ["", " ", "\n", "\n\n", "a  b", "a\n b", " a", "a ", "\na", "a\n", "\x02", "a \x02b", "\x03", "a \x03 b\x02", "a\x85\x85b", "a\u2003\xa0b"]
+    odd += ["<|endoftext|>", "a <|endoftext|> b", "a\tb", "a\x0bb", "a\x1c\x1fb", "don't, don't", "日本 日本", "x" * 70, "%", "été\nété, ÉTÉ"]
+    texts = [t for seed in range(60) for t in (text(seed), odd[seed % len(odd)])]
+    expected = [[*whole.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+    for given in (pa.array(texts), pa.array(["first", *texts, "last"])[1:-1], pa.array(texts[::2]), pa.array(odd)):
+        found = encoder.encode_all(given, b"\7\0").to_pylist()
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in found] == [expected[texts.index(t)] for t in given.to_pylist()]
+    assert encoder.encode_all(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_many_texts_at_once_look_up_each_word_once():
+    encoder = JsonEncoder(public_tokenizers.path(FILES["byte"]), "byte", "<u2")
+    looked_up = []
+    encoder.spaced = type("Table", (), {"__getitem__": lambda _, word: looked_up.append(word) or b""})()
+    encoder.encode_all(pa.array(["a tariff, a book", "a tariff, a table"] * 50))
+    assert sorted(looked_up) == ["\x02a", "a", "book", "table", "tariff,"]
+
+
 def test_a_word_has_one_entry_with_marks_and_without():
     encoder = JsonEncoder(public_tokenizers.path(FILES["byte"]), "byte", "<u2")
     encoder.encode("the tariff, the Tariff.\nÉté, book")
