@@ -83,6 +83,7 @@ def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = parts.repartition(max(1, -(-parts.count() // PARTS_A_TASK))).selectExpr("*", "p_partkey % 40 = 3 AS weekly")
     week, cents = "date_add(DATE '1995-01-01', 7 * k)", "(cast(round(p_retailprice * 100) AS bigint) + 100 * k)"
     # Made by the generator, a text is a column; as an expression it would stand in every use of it in filters and parsers.
+    # The numbers are exploded first, as code is compiled for these generators and not for a lambda over the numbers.
     version = f"""named_struct(
         'plan_id', CASE WHEN (p_partkey + k) % 97 = 0 THEN null WHEN (p_partkey + k) % 101 = 0 THEN '  '
             ELSE cast(p_partkey AS string) END,
@@ -97,7 +98,8 @@ def raw_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ELSE cast(date_add({week}, 6) AS string) END
             WHEN k = 6 THEN null WHEN k % 2 = 0 THEN concat('12/31/', 1995 + k)
             ELSE concat(1995 + k, '-12-31') END)"""
-    versions = dealt.selectExpr("p_type", f"inline(transform(sequence(0, if(weekly, 364, 6)), k -> {version}))")
+    numbered = dealt.selectExpr("*", "explode(sequence(0, if(weekly, 364, 6))) AS k")
+    versions = numbered.selectExpr("p_type", f"inline(array({version}))")
     return versions.selectExpr("plan_id", "p_type AS plan_tier", "price_per_month", "effective_date", "end_date")
 
 

@@ -191,6 +191,14 @@ def test_catalogue_uses_many_buckets(spark):
     assert tables.priced().count() > tables.fact.count()
 
 
+def test_versions_are_made_by_compiled_code(spark, configured):
+    configured(adaptive__enabled="false")
+    generators = re.findall(r"(\*\(\d+\) )?Generate (\w+)", plan_of(catalogue.Tables(spark, SF_DIR).raw_plans))
+    assert [name for _, name in generators] == ["inline", "explode"]
+    assert all(compiled for compiled, _ in generators)
+    assert "lambda" not in plan_of(catalogue.Tables(spark, SF_DIR).raw_plans)
+
+
 # Most shuffles and scans of part and of customer, without broadcasts. The raw fact itself takes seven shuffles.
 LEAST_WORK = {
     "price_variance": (19, 3, 2),
