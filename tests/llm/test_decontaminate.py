@@ -1,0 +1,73 @@
+"""The fit of the search index against plain matrices of all passages."""
+
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tariffbook.llm import decontaminate
+
+
+def tf_idf(texts):
+    """Passages by terms, of unit length, and the weights of the terms."""
+    rows = []
+    for text in texts:
+        terms = decontaminate.terms_of(decontaminate.words_of(pa.array([text]))[0]).tolist()
+        rows += [Counter(terms[a : a + decontaminate.PASSAGE]) for a in range(0, len(terms), decontaminate.PASSAGE)]
+    seen = Counter(term for row in rows for term in row)
+    counts = np.zeros((len(rows), decontaminate.TERMS), np.float32)
+    for number, row in enumerate(rows):
+        counts[number, list(row)] = list(row.values())
+    idf = np.log((1 + len(rows)) / (1 + np.array([seen[t] for t in range(decontaminate.TERMS)]))) + 0.1
+    return counts, idf
+
+
+def unit(counts, idf):
+    weighted = counts * idf.astype(np.float32)
+    return weighted / np.sqrt((weighted**2).sum(1, keepdims=True))
+
+
+@pytest.mark.parametrize("even", [1 << 15, 500])
+def test_basis_is_fitted_on_all_documents(spark, monkeypatch, even):
+    """More documents than were once taken for the fit, in any parts: the same basis as of plain matrices of them all."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 12) % 3000) for _ in range(6000)]
+    texts += [None, "", " ".join(f"w{k % 900}" for k in range(5000)), *[texts[0]] * 50]
+    items = [" ".join(f"w{k}" for k in rng.integers(0, 3000, 20)) for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "EVEN", even, raising=False)
+    fitted, fit = [], decontaminate.latent_basis
+    monkeypatch.setattr(decontaminate, "latent_basis", lambda *given: fitted.append((given[2], fit(*given))) or fitted[-1][1])
+    decontaminate.decontaminate(docs, bench)
+    ((idf, basis),) = fitted
+
+    counts, expected = tf_idf([t or "" for t in texts])
+    assert np.allclose(idf, expected, rtol=1e-5)
+    own = unit(np.concatenate([tf_idf([item])[0] for item in items]), expected)
+    all_, share = unit(counts, expected), min(1, even / len(counts))
+    wanted = np.random.default_rng(11).standard_normal((decontaminate.TERMS, decontaminate.RANK + decontaminate.EXTRA))
+    for _ in range(decontaminate.ROUNDS):
+        total = share * (all_.T @ (all_ @ wanted)) + decontaminate.OWN**2 * (own.T @ (own @ wanted))
+        wanted = np.linalg.qr(total)[0]
+    wanted = wanted[:, : decontaminate.RANK]
+    assert np.allclose(basis.T @ basis, np.eye(decontaminate.RANK), atol=1e-4)
+    assert ((wanted.T @ basis) ** 2).sum() > 0.999 * decontaminate.RANK
+    assert (((own @ basis) ** 2).sum(1) > 0.99).all()
+
+
+def test_passages_hold_every_word(spark, docs):
+    """Whatever the length of a text."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = Counter()
+    for row in decontaminate.passages(rows).collect():
+        terms, counts = np.frombuffer(row["terms"], np.uint16), np.frombuffer(row["counts"], np.uint8)
+        assert 0 < len(row["sizes"]) <= decontaminate.ROW
+        ends = np.cumsum(np.frombuffer(row["sizes"], np.uint8))
+        assert ends[-1] == len(terms) == len(counts)
+        for low, high in zip([0, *ends], ends):
+            found[tuple(zip(terms[low:high].tolist(), counts[low:high].tolist()))] += 1
+    expected, _ = tf_idf([r["text"] for r in rows.collect()])
+    assert found == Counter(tuple((int(t), int(row[t])) for t in np.flatnonzero(row)) for row in expected)
