@@ -71,3 +71,19 @@ def test_passages_hold_every_word(spark, docs):
             found[tuple(zip(terms[low:high].tolist(), counts[low:high].tolist()))] += 1
     expected, _ = tf_idf([r["text"] for r in rows.collect()])
     assert found == Counter(tuple((int(t), int(row[t])) for t in np.flatnonzero(row)) for row in expected)
+
+
+def test_blocks_of_items_share_their_first_round(spark, docs, texts, monkeypatch):
+    """More items than a block has: the same rows, and one round over the documents for each further block."""
+    words, rounds, times = texts[11].split(), [], decontaminate.products
+    items = [(i, " ".join(words[100 * i : 100 * i + 30])) for i in range(7)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "products", lambda *given: rounds.append(1) or times(*given))
+    found = []
+    for size in (256, 2):
+        monkeypatch.setattr(decontaminate, "ITEMS", size)
+        rows = decontaminate.decontaminate(docs, bench).collect()
+        found.append(Counter((r["doc_id"], r["item_id"], r["overlap"], r["answer"]) for r in rows))
+    assert found[0] == found[1]
+    assert {(d, i) for d, i, *_ in found[0]} == {(11, i) for i, _ in items}
+    assert len(rounds) == 2 + 1 + 4
